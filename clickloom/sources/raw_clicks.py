@@ -12,14 +12,13 @@ from clickloom.fields import TEXT_FIELDS
 # Fixed value: lines that mention the empty visitor id are not wanted.
 ZERO_GUID = "00000000-0000-0000-0000-000000000000"
 
-UNESCAPED_BACKSLASH = r"(?<!\\)((?:\\\\)*)\\"
 # Fixed values: (escape JSON does not know, what it stands for), in order.
 # Any other unknown escape stands for the character itself.
 ESCAPE_REPAIRS = (
-    ("v", r"$1\\u0007"),
-    ("a", r"$1\\u0013"),
-    (r"([^\"\\/bfnrtu])", "$1$2"),
+    ("v", r"\\u0007"),
+    ("a", r"\\u0013"),
 )
+JSON_ESCAPES = r"\"\\/bfnrtu"
 
 UNPARSEABLE = "unparseable"
 NO_TRACKING_ID = "missing trackingId"
@@ -52,26 +51,23 @@ def drop_zero_guid(lines: DataFrame) -> DataFrame:
     return lines.where(~F.col("value").contains(ZERO_GUID))
 
 
+def _replace_escape(text: Column, wanted: str, unwanted: str, meaning: str) -> Column:
+    r"""Replace ``\`` + ``wanted``, reading escapes in order so that ``\\`` hides what follows it."""
+    up_to = rf"\G([^\\]*+(?:\\[{unwanted}][^\\]*+)*+)"
+    return F.regexp_replace(text, rf"{up_to}\\([{wanted}])", f"$1{meaning}")
+
+
 def repair_escapes(text: Column) -> Column:
-    """Rewrite escapes that JSON does not allow; lines without a backslash are untouched."""
+    """Rewrite escapes that JSON does not allow; lines without any are left alone."""
     repaired = text
     for escape, meaning in ESCAPE_REPAIRS:
-        repaired = F.regexp_replace(repaired, UNESCAPED_BACKSLASH + escape, meaning)
-    return F.when(text.contains("\\"), repaired).otherwise(text)
-
-
-def last_of_each_key(entries: Column) -> Column:
-    """Keep the last of several entries with one key."""
-
-    def is_last(entry: Column, i: Column) -> Column:
-        later = F.slice(entries, i + 2, F.size(entries))
-        return ~F.exists(later, lambda other: other["key"] == entry["key"])
-
-    return F.filter(entries, is_last)
+        repaired = _replace_escape(repaired, escape, f"^{escape}", meaning)
+    repaired = _replace_escape(repaired, f"^{JSON_ESCAPES}", JSON_ESCAPES, "$2")
+    return F.when(text.rlike(rf"\\[^{JSON_ESCAPES}]"), repaired).otherwise(text)
 
 
-def flatten_record(record: Column, pairs: Column, hash_ids: bool = True) -> Column:
-    """One map of all fields: the record's own, overridden by its ``extras`` pairs."""
+def _entries(record: Column, pairs: Column, hash_ids: bool) -> Column:
+    """The record's own fields, then its ``extras`` pairs, as key/value structs."""
 
     def own(entry: Column) -> Column:
         value = entry["value"]
@@ -83,10 +79,37 @@ def flatten_record(record: Column, pairs: Column, hash_ids: bool = True) -> Colu
         F.filter(F.map_entries(record), lambda entry: entry["key"] != "extras"), own
     )
     extra = F.transform(
-        F.filter(F.coalesce(pairs, F.array().cast(PAIRS)), lambda p: p["name"].isNotNull()),
-        lambda p: F.struct(p["name"].alias("key"), p["value"].alias("value")),
+        F.filter(F.coalesce(pairs, F.array().cast(PAIRS)), lambda pair: pair["name"].isNotNull()),
+        lambda pair: F.struct(pair["name"].alias("key"), pair["value"].alias("value")),
+    )
+    return F.concat(top, extra)
+
+
+def flatten_records(
+    rows: DataFrame, record: str = "_record", to: str = "_fields", hash_ids: bool = True
+) -> DataFrame:
+    """Add one map of all of a record's fields, where its ``extras`` pairs win.
+
+    Of several entries with one key the last counts.  Each step is a column of
+    its own, so that nothing is worked out more than once per row.
+    """
+    keys, values = F.col("_entries.key"), F.col("_entries.value")
+    return (
+        rows.withColumn("_pairs", F.from_json(F.col(record)["extras"], PAIRS))
+        .withColumn("_entries", F.reverse(_entries(F.col(record), F.col("_pairs"), hash_ids)))
+        .withColumns({"_keys": keys, "_values": values, "_names": F.array_distinct(keys)})
+        .withColumn(
+            to,
+            F.map_from_arrays(
+                "_names",
+                F.transform(
+                    "_names",
+                    lambda name: F.get("_values", F.array_position("_keys", name).cast("int") - 1),
+                ),
+            ),
+        )
+        .drop("_pairs", "_entries", "_keys", "_values", "_names")
     )
-    return F.map_from_entries(last_of_each_key(F.concat(top, extra)))
 
 
 def parse_lines(lines: DataFrame, hash_ids: bool = True) -> DataFrame:
@@ -94,10 +117,9 @@ def parse_lines(lines: DataFrame, hash_ids: bool = True) -> DataFrame:
 
     Every other column of ``lines`` is kept.
     """
-    parsed = (
-        lines.withColumn("_record", F.from_json(repair_escapes(F.col("value")), "map<string,string>"))
-        .withColumn("_pairs", F.from_json(F.col("_record")["extras"], PAIRS))
-        .withColumn("_fields", flatten_record(F.col("_record"), F.col("_pairs"), hash_ids))
+    parsed = flatten_records(
+        lines.withColumn("_record", F.from_json(repair_escapes(F.col("value")), "map<string,string>")),
+        hash_ids=hash_ids,
     )
     fields = F.col("_fields")
     known = ("timestamp", *TEXT_FIELDS)
@@ -107,13 +129,15 @@ def parse_lines(lines: DataFrame, hash_ids: bool = True) -> DataFrame:
         .when(F.col("_record")["trackingId"].isNull(), NO_TRACKING_ID)
         .when(timestamp.isNull(), BAD_TIMESTAMP)
     )
-    return parsed.select(
-        *lines.columns,
+    click = F.struct(
         timestamp.alias("timestamp"),
         *[fields[name].alias(name) for name in TEXT_FIELDS],
         F.map_filter(fields, lambda key, _: ~key.isin(*known)).alias("extras"),
         reason.alias("reason"),
     )
+    # A generator keeps later filters on these columns from being pushed below
+    # the parsing, which would parse every line once more for each filter.
+    return parsed.select(*lines.columns, F.inline(F.array(click)))
 
 
 def parsed_clicks(parsed: DataFrame) -> DataFrame:

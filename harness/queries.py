@@ -21,7 +21,7 @@ from clickloom.operators.reload import (
 from clickloom.operators.sessions import session_heads, sessionise
 from clickloom.plans import content, etl, forecast, segments, visitors
 from clickloom.sources import ip_ranges, raw_clicks, sessionised
-from clickloom.staging import new_path
+from clickloom.staging import new_path, stage
 from harness import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,7 +162,8 @@ def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_to_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way: damaged lines, week, reloads, sessions, weekly and daily metrics."""
-    weekly = etl.in_week(raw_clicks.parsed_clicks(_parsed(spark, sf_dir)), week=2)
+    parsed = stage(_parsed(spark, sf_dir), "parsed")
+    weekly = etl.in_week(raw_clicks.parsed_clicks(parsed), week=2)
     return visitors.visitor_metrics(session_heads(etl.sessionised_clicks(weekly)), MASTHEAD)
 
 
