@@ -14,11 +14,10 @@ SYDNEY = "Australia/Sydney"
 
 def local_time(ms: Column, tz: str = SYDNEY) -> Column:
     """Wall-clock time (``timestamp_ntz``) in ``tz``."""
-    seconds = (ms.cast("decimal(18,3)") / 1000).cast("decimal(18,6)")
-    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds
+    shifted = F.unix_micros(F.from_utc_timestamp(F.timestamp_millis(ms), tz))
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + shifted * F.expr(
+        "interval '0.000001' second"
     )
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def local_date(ms: Column, tz: str = SYDNEY) -> Column:

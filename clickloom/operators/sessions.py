@@ -53,26 +53,30 @@ def _mark() -> Column:
     return F.concat_ws("|", "masthead", "timestamp")
 
 
+def _is_marked() -> Column:
+    return F.coalesce(F.array_contains("_reloads", _mark()), F.lit(False))
+
+
 def _slot_summaries_without(
     clicks: DataFrame, keys: Sequence[str], reloads: DataFrame
 ) -> DataFrame:
     """Summaries of the views that stay, each with the marks of those that go."""
-    moment_keys = list(dict.fromkeys([*keys, "_slot", *RELOAD_KEY]))
-    kept = (
-        clicks.groupBy(*moment_keys)
-        .agg(F.count("*").alias("_views"))
-        .join(reloads, [key for key in moment_keys if key in reloads.columns], "left_anti")
-        .groupBy(*keys, "_slot")
+    mark_keys = [key for key in (*keys, "_slot") if key in reloads.columns]
+    # At most one mark per masthead and instant of a slot; in practice a handful.
+    marks = reloads.groupBy(*mark_keys).agg(F.collect_set(_mark()).alias("_reloads"))
+    moments = clicks.groupBy(
+        *dict.fromkeys((*keys, "_slot", "masthead", "timestamp"))
+    ).agg(F.count("*").alias("_views"))
+    return (
+        moments.join(marks, mark_keys, "left")
+        .where(~_is_marked())
+        .groupBy(*keys, "_slot", "_reloads")
         .agg(
             F.min("timestamp").alias("_first"),
             F.max("timestamp").alias("_last"),
             F.sum("_views").alias("_views"),
         )
     )
-    # At most one mark per masthead and instant of a slot; in practice a handful.
-    mark_keys = [key for key in [*keys, "_slot"] if key in reloads.columns]
-    marks = reloads.groupBy(*mark_keys).agg(F.collect_set(_mark()).alias("_reloads"))
-    return kept.join(marks, mark_keys, "left")
 
 
 def sessionise(
@@ -117,8 +121,7 @@ def sessionise(
     # slot can be split at run time.
     joined = clicks.join(session_slots(slots, keys, gap_ms, carry), [*keys, "_slot"])
     if reloads is not None:
-        marked = F.array_contains("_reloads", _mark())
-        joined = joined.where(~F.coalesce(marked, F.lit(False))).drop("_reloads")
+        joined = joined.where(~_is_marked()).drop("_reloads")
 
     session_id = [F.col("sessionStart").cast("string"), F.col("trackingId")]
     if by_day:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,26 +17,32 @@ SECTION = ("day", "assetCategory")
 ARTICLE = ("day", "title", "url")
 
 
-def content_views(sessionised: DataFrame, session_key: str = "sessionStart", tz: str = SYDNEY) -> DataFrame:
-    """The columns the content reports need, missing text as ''."""
-    return sessionised.select(
-        day_of_month(F.col("timestamp"), tz).alias("day"),
-        F.coalesce("assetCategory", F.lit("")).alias("assetCategory"),
-        hashed_title(F.col("title")).alias("title"),
-        F.coalesce("url", F.lit("")).alias("url"),
-        F.coalesce(F.col(session_key).cast("string"), F.lit("")).alias("_visit"),
+def content_views(
+    sessionised: DataFrame,
+    keys: Sequence[str],
+    session_key: str = "sessionStart",
+    tz: str = SYDNEY,
+) -> DataFrame:
+    """The report columns ``keys`` of every view, missing text as '', and its visit."""
+    columns = {
+        "day": lambda: day_of_month(F.col("timestamp"), tz),
+        "assetCategory": lambda: F.coalesce("assetCategory", F.lit("")),
+        "title": lambda: hashed_title(F.col("title")),
+        "url": lambda: F.coalesce("url", F.lit("")),
+    }
+    visit = F.coalesce(F.col(session_key).cast("string"), F.lit(""))
+    return sessionised.select(*[columns[key]().alias(key) for key in keys], visit.alias("_visit"))
+
+
+def _views(sessionised: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+    return content_views(sessionised, keys, **options).groupBy(*keys).agg(
+        F.count("*").alias("value")
     )
 
 
-def _views(sessionised: DataFrame, keys: tuple[str, ...], **options) -> DataFrame:
-    return content_views(sessionised, **options).groupBy(*keys).agg(F.count("*").alias("value"))
-
-
-def _visits(sessionised: DataFrame, keys: tuple[str, ...], **options) -> DataFrame:
-    return (
-        content_views(sessionised, **options)
-        .groupBy(*keys)
-        .agg(F.count_distinct("_visit").alias("value"))
+def _visits(sessionised: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+    return content_views(sessionised, keys, **options).groupBy(*keys).agg(
+        F.count_distinct("_visit").alias("value")
     )
 
 
@@ -79,7 +87,7 @@ def top_articles_by_dwell(sessionised: DataFrame, masthead: str, k: int = 10, **
         .orderBy(F.desc("dwellMs"), "day", "title")
         .limit(k)
     )
-    pages = content_views(sessionised, tz=options.get("tz", SYDNEY))
+    pages = content_views(sessionised, ARTICLE, tz=options.get("tz", SYDNEY))
     # ``best`` has at most k rows.
     urls = (
         pages.join(F.broadcast(best.select("day", "title")), ["day", "title"], "left_semi")

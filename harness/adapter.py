@@ -34,7 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    epoch = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) div 1000")
+    # ``ts`` has no zone: read as session time, then shifted back, it is taken as UTC.
+    epoch = F.unix_millis(
+        F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    )
     eighth = F.col("event_id") % 8
     site = (
         F.when(eighth == 3, "m.smh")
