@@ -66,49 +66,45 @@ def repair_escapes(text: Column) -> Column:
     return F.when(text.rlike(rf"\\[^{JSON_ESCAPES}]"), repaired).otherwise(text)
 
 
-def _entries(record: Column, pairs: Column, hash_ids: bool) -> Column:
-    """The record's own fields, then its ``extras`` pairs, as key/value structs."""
+def with_flat_fields(
+    rows: DataFrame, names: Sequence[str], record: Column, hash_ids: bool = True
+) -> DataFrame:
+    """Add the record's fields ``names`` as columns, and the others as the map ``extras``.
 
-    def own(entry: Column) -> Column:
-        value = entry["value"]
-        if hash_ids:
-            value = F.when(entry["key"] == "trackingId", F.md5(value)).otherwise(value)
-        return F.struct(entry["key"].alias("key"), value.alias("value"))
+    The record's own fields are overridden by its ``extras`` name/value pairs,
+    and of several entries with one name the last counts.  ``trackingId`` is
+    hashed unless a pair gives it.
 
-    top = F.transform(
-        F.filter(F.map_entries(record), lambda entry: entry["key"] != "extras"), own
-    )
-    extra = F.transform(
-        F.filter(F.coalesce(pairs, F.array().cast(PAIRS)), lambda pair: pair["name"].isNotNull()),
-        lambda pair: F.struct(pair["name"].alias("key"), pair["value"].alias("value")),
+    Each step is a column of its own, so that nothing is worked out more than
+    once per row, and all but the first run as generated code.
+    """
+    pairs = F.coalesce(F.from_json(record["extras"], PAIRS), F.array().cast(PAIRS))
+    own, given = F.map_keys(record), F.col("_pairs.name")
+    split = rows.withColumn("_pairs", pairs).withColumns(
+        {
+            "_given": given,
+            "_keys": F.reverse(F.concat(own, given)),
+            "_values": F.reverse(F.concat(F.map_values(record), F.col("_pairs.value"))),
+        }
     )
-    return F.concat(top, extra)
-
 
-def flatten_records(
-    rows: DataFrame, record: str = "_record", to: str = "_fields", hash_ids: bool = True
-) -> DataFrame:
-    """Add one map of all of a record's fields, where its ``extras`` pairs win.
-
-    Of several entries with one key the last counts.  Each step is a column of
-    its own, so that nothing is worked out more than once per row.
-    """
-    keys, values = F.col("_entries.key"), F.col("_entries.value")
+    def value_of(name: Column) -> Column:
+        return F.get("_values", F.array_position("_keys", name).cast("int") - 1)
+
+    columns = {name: value_of(F.lit(name)) for name in names}
+    if hash_ids and "trackingId" in columns:
+        visitor = columns["trackingId"]
+        columns["trackingId"] = F.when(
+            F.array_contains("_given", "trackingId"), visitor
+        ).otherwise(F.md5(visitor))
+    # Pairs without a name are no field.
+    taken = F.array(F.lit(None).cast("string"), *[F.lit(name) for name in ("extras", *names)])
+    other = F.array_except("_keys", taken)
     return (
-        rows.withColumn("_pairs", F.from_json(F.col(record)["extras"], PAIRS))
-        .withColumn("_entries", F.reverse(_entries(F.col(record), F.col("_pairs"), hash_ids)))
-        .withColumns({"_keys": keys, "_values": values, "_names": F.array_distinct(keys)})
-        .withColumn(
-            to,
-            F.map_from_arrays(
-                "_names",
-                F.transform(
-                    "_names",
-                    lambda name: F.get("_values", F.array_position("_keys", name).cast("int") - 1),
-                ),
-            ),
-        )
-        .drop("_pairs", "_entries", "_keys", "_values", "_names")
+        split.withColumn("_other", other)
+        .withColumn("extras", F.map_from_arrays("_other", F.transform("_other", value_of)))
+        .withColumns(columns)
+        .drop("_pairs", "_given", "_keys", "_values", "_other")
     )
 
 
@@ -117,27 +113,25 @@ def parse_lines(lines: DataFrame, hash_ids: bool = True) -> DataFrame:
 
     Every other column of ``lines`` is kept.
     """
-    parsed = flatten_records(
-        lines.withColumn("_record", F.from_json(repair_escapes(F.col("value")), "map<string,string>")),
-        hash_ids=hash_ids,
+    record = F.from_json(repair_escapes(F.col("value")), "map<string,string>")
+    flat = with_flat_fields(
+        lines.withColumn("_record", record),
+        ("timestamp", *TEXT_FIELDS),
+        F.col("_record"),
+        hash_ids,
     )
-    fields = F.col("_fields")
-    known = ("timestamp", *TEXT_FIELDS)
-    timestamp = fields["timestamp"].try_cast("bigint")
+    timestamp = F.col("timestamp").try_cast("bigint")
     reason = (
         F.when(F.col("_record").isNull(), UNPARSEABLE)
         .when(F.col("_record")["trackingId"].isNull(), NO_TRACKING_ID)
         .when(timestamp.isNull(), BAD_TIMESTAMP)
     )
     click = F.struct(
-        timestamp.alias("timestamp"),
-        *[fields[name].alias(name) for name in TEXT_FIELDS],
-        F.map_filter(fields, lambda key, _: ~key.isin(*known)).alias("extras"),
-        reason.alias("reason"),
+        timestamp.alias("timestamp"), *TEXT_FIELDS, "extras", reason.alias("reason")
     )
     # A generator keeps later filters on these columns from being pushed below
     # the parsing, which would parse every line once more for each filter.
-    return parsed.select(*lines.columns, F.inline(F.array(click)))
+    return flat.select(*lines.columns, F.inline(F.array(click)))
 
 
 def parsed_clicks(parsed: DataFrame) -> DataFrame:

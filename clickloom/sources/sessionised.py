@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.fields import SESSION_NUMBER_FIELDS, SESSION_TEXT_FIELDS, TEXT_FIELDS
 from clickloom.functions.timekeys import SYDNEY, week_of_year
+from clickloom.sources.raw_clicks import with_flat_fields
 
 NUMBERS = ("timestamp", *SESSION_NUMBER_FIELDS)
 TEXTS = (*TEXT_FIELDS, *SESSION_TEXT_FIELDS, "masthead", "device")
@@ -46,14 +47,10 @@ def write_json(clicks: DataFrame, path: str, files: int | None = None) -> None:
 
 def read_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Clicks written by ``write_json``, or any flat JSON lines with the same names."""
-    record = spark.read.text(paths).select(
-        F.from_json("value", "map<string,string>").alias("_record")
-    )
-    field = F.col("_record")
-    return record.select(
-        *[field[name].try_cast("bigint").alias(name) for name in NUMBERS],
-        *[field[name].alias(name) for name in TEXTS],
-        F.map_filter(field, lambda key, _: ~key.isin(*NUMBERS, *TEXTS)).alias("extras"),
+    lines = spark.read.text(paths).select(F.from_json("value", "map<string,string>").alias("_record"))
+    flat = with_flat_fields(lines, (*NUMBERS, *TEXTS), F.col("_record"), hash_ids=False)
+    return flat.select(
+        *[F.col(name).try_cast("bigint").alias(name) for name in NUMBERS], *TEXTS, "extras"
     )
 
 
