@@ -11,13 +11,14 @@ BUCKET = 65_536
 LOCATION = ("Country", "Region", "City", "ipBlock", "ipBlockIndex")
 
 
-def locate_addresses(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Left-join distinct ``address`` numbers to disjoint ``lo``..``hi`` ranges.
+def locate_addresses(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Add location columns to rows with an ``address`` number, by disjoint ``lo``..``hi`` ranges.
 
-    Addresses and range starts are merged into one ordered series per bucket of
-    65,536 addresses, and each address takes the last range that started.  A
-    bucket holds at most that many distinct addresses and as many ranges, and
-    no address is ever compared with more than one range.
+    Rows and range starts are merged into one ordered series per bucket of
+    65,536 addresses, and each row takes the last range that started, so no row
+    is ever compared with more than one range.  Reduce the rows first, to
+    distinct addresses or to totals per address: then a bucket stays small
+    whatever the number of clicks.
     """
     buckets = F.sequence(F.expr(f"lo div {BUCKET}"), F.expr(f"hi div {BUCKET}"))
     starts = ranges.select(
@@ -28,25 +29,31 @@ def locate_addresses(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
         F.lit(0).alias("_asks"),
         "_range",
     )
-    asks = addresses.select(
-        F.expr(f"address div {BUCKET}").alias("_bucket"), "address", F.lit(1).alias("_asks")
-    )
+    asks = rows.withColumns({"_bucket": F.expr(f"address div {BUCKET}"), "_asks": F.lit(1)})
     so_far = (
         Window.partitionBy("_bucket")
         .orderBy("address", "_asks", "_range.hi")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
-        starts.unionByName(asks, allowMissingColumns=True)
+        asks.unionByName(starts, allowMissingColumns=True)
         .withColumn("_found", F.last("_range", ignorenulls=True).over(so_far))
         .where(F.col("_asks") == 1)
     )
     hit = F.col("address") <= F.col("_found.hi")
     return found.select(
-        "address", *[F.when(hit, F.col(f"_found.{name}")).alias(name) for name in LOCATION]
+        *rows.columns, *[F.when(hit, F.col(f"_found.{name}")).alias(name) for name in LOCATION]
     )
 
 
+def with_address(
+    clicks: DataFrame, ip_col: str = "IpAddress", default_ip: str | None = None
+) -> DataFrame:
+    """Add ``address``, the number of the click's IP or else of ``default_ip``."""
+    ip = F.coalesce(ip_col, F.lit(default_ip or ""))
+    return clicks.withColumn("address", ip_to_long(ip))
+
+
 def add_location(
     clicks: DataFrame,
     ranges: DataFrame,
@@ -58,8 +65,7 @@ def add_location(
     Each distinct address is looked up once.  The result is joined back on the
     address, a join whose click side adaptive execution can split.
     """
-    ip = F.col(ip_col) if default_ip is None else F.coalesce(ip_col, F.lit(default_ip))
-    numbered = clicks.withColumn("address", ip_to_long(F.coalesce(ip, F.lit(""))))
+    numbered = with_address(clicks, ip_col, default_ip)
     located = locate_addresses(numbered.select("address").distinct(), ranges)
     return numbered.join(located, "address", "left").drop("address")
 

@@ -15,6 +15,28 @@ from clickloom.sources.metrics import write_metrics
 from clickloom.staging import stage
 
 
+SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffles(rows: DataFrame) -> None:
+    """Give shuffles enough partitions for all of ``rows``; adaptive execution merges small ones.
+
+    An explicit higher setting is kept.
+    """
+    spark = rows.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = -(-size // SHUFFLE_TASK_BYTES)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
+def staged_clicks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Parsed click files as a table: text is parsed once, however often it is read."""
+    parsed = stage(raw_clicks.read_clicks(spark, paths), "parsed")
+    size_shuffles(parsed)
+    return parsed
+
+
 def sessionise_files(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -32,7 +54,7 @@ def sessionise_files(
     Parsed lines are staged: the reload flags, the sessions and the clicks
     themselves each read them, the first two only a few columns.
     """
-    parsed = stage(raw_clicks.read_clicks(spark, paths), "parsed")
+    parsed = staged_clicks(spark, paths)
     if quarantine is not None:
         raw_clicks.quarantined(parsed).write.option("compression", "gzip").json(quarantine)
     weekly = etl.in_week(raw_clicks.parsed_clicks(parsed), week, year)
@@ -50,9 +72,14 @@ def read_sessionised(
     masthead: str | None = None,
     week: int | None = None,
 ) -> DataFrame:
+    """Sessionised clicks; JSON lines hold one masthead and week per folder."""
     if as_json:
-        return sessionised.read_json(spark, path)
-    return sessionised.read_parquet(spark, path, masthead, week)
+        # Every report reads the clicks at least once, text would be parsed each time.
+        clicks = stage(sessionised.read_json(spark, path), "sessionised")
+    else:
+        clicks = sessionised.read_parquet(spark, path, masthead, week)
+    size_shuffles(clicks)
+    return clicks
 
 
 def brand_path_report(clicks: DataFrame, output: str) -> None:
@@ -97,14 +124,16 @@ def forecast_report(
     country: str = "AU",
     default_ip: str | None = None,
 ) -> None:
-    parsed = stage(raw_clicks.read_clicks(spark, paths), "parsed")
-    heads = forecast.located_heads(
-        raw_clicks.parsed_clicks(parsed),
+    parsed = staged_clicks(spark, paths)
+    rows = forecast.monthly_metrics(
+        forecast.device_sessions(raw_clicks.parsed_clicks(parsed)),
         ip_ranges.read_ranges(spark, ip_file),
+        masthead,
         country,
         default_ip=default_ip,
     )
-    rows = forecast.monthly_metrics(heads, masthead).withColumn(
-        "month_start", F.col("month_start").cast("string")
+    write_metrics(
+        rows.withColumn("month_start", F.col("month_start").cast("string")),
+        f"{output}/{masthead}_metrics",
+        "gzip",
     )
-    write_metrics(rows, f"{output}/{masthead}_metrics", "gzip")

@@ -135,10 +135,11 @@ def _ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _monthly(metric: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        heads = forecast.located_heads(
-            adapter.clicks(spark, sf_dir), adapter.nation_ranges(spark, sf_dir)
-        )
-        rows = forecast.monthly_metrics(heads, MASTHEAD).where(F.col("metric") == metric)
+        rows = forecast.monthly_metrics(
+            forecast.device_sessions(adapter.clicks(spark, sf_dir)),
+            adapter.nation_ranges(spark, sf_dir),
+            MASTHEAD,
+        ).where(F.col("metric") == metric)
         return rows.withColumn("month_start", F.col("month_start").cast("string"))
 
     return query

@@ -44,6 +44,12 @@ def test_lookup_equals_brute_force(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_lookup_keeps_other_columns_and_repeated_addresses(spark):
+    asked = spark.createDataFrame([(5, "x"), (5, "x"), (9, "y")], "address bigint, tag string")
+    got = rows(locate_addresses(asked, ranges_of(spark, [(5, 6)])), "address", "tag", "City")
+    assert got == [(5, "x", "T0"), (5, "x", "T0"), (9, "y", None)]
+
+
 def test_one_range_over_everything(spark):
     addresses = spark.createDataFrame([(0,), (65_536,), (2**32 - 1,)], "address bigint")
     got = rows(locate_addresses(addresses, ranges_of(spark, [(0, 2**32 - 1)])), "address", "City")

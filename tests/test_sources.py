@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.__main__ import main
 from clickloom.fields import TEXT_FIELDS
 from clickloom.operators.sessions import sessionise
+from clickloom.plans import jobs
 from clickloom.sources import raw_clicks as raw
 from clickloom.sources import sessionised
 from clickloom.sources.metrics import write_metrics
@@ -243,3 +244,14 @@ def test_forecast_job(spark, click_files, tmp_path):
         ],
         key=repr,
     )
+
+
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        jobs.size_shuffles(spark.range(10))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        jobs.size_shuffles(spark.range(2**30))  # 8 GiB
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
