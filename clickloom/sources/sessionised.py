@@ -15,22 +15,18 @@ NUMBERS = ("timestamp", *SESSION_NUMBER_FIELDS)
 TEXTS = (*TEXT_FIELDS, *SESSION_TEXT_FIELDS, "masthead", "device")
 
 
-def flat_record(clicks: DataFrame) -> Column:
-    """Every field of a click as one map of strings, absent fields left out."""
+def flat_json(clicks: DataFrame) -> Column:
+    """Every field of a click in one flat JSON object of strings, absent fields left out."""
     names = [name for name in (*NUMBERS, *TEXTS) if name in clicks.columns]
-    own = F.array(
-        *[
-            F.struct(F.lit(name).alias("key"), F.col(name).cast("string").alias("value"))
-            for name in names
-        ]
+    own = F.to_json(F.struct(*[F.col(name).cast("string").alias(name) for name in names]))
+    if "extras" not in clicks.columns:
+        return own
+    extras = F.to_json(
+        F.map_filter("extras", lambda key, value: ~key.isin(*names) & value.isNotNull())
     )
-    if "extras" in clicks.columns:
-        extras = F.filter(
-            F.coalesce(F.map_entries("extras"), F.array().cast("array<struct<key:string,value:string>>")),
-            lambda entry: ~entry["key"].isin(*names),
-        )
-        own = F.concat(own, extras)
-    return F.map_from_entries(F.filter(own, lambda entry: entry["value"].isNotNull()))
+    open_end = F.substring(own, F.lit(1), F.length(own) - 1)
+    both = F.concat(open_end, F.lit(","), F.substring(extras, F.lit(2), F.length(extras)))
+    return F.when(extras != "{}", both).otherwise(own)
 
 
 def write_json(clicks: DataFrame, path: str, files: int | None = None) -> None:
@@ -39,7 +35,7 @@ def write_json(clicks: DataFrame, path: str, files: int | None = None) -> None:
     ``files`` fixes the number of files at the price of a shuffle; by default
     every task writes what it has.
     """
-    lines = clicks.select(F.to_json(flat_record(clicks)).alias("value"))
+    lines = clicks.select(flat_json(clicks).alias("value"))
     if files is not None:
         lines = lines.repartition(files)
     lines.write.option("compression", "gzip").text(path)

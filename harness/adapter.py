@@ -135,8 +135,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"}]}'),
     )
     cut = F.substring(line, F.lit(1), F.length(line) - 5)
+    # As with lines read from a file, filters on them do not build them again.
     return rows.select(
-        F.when(value >= 200, cut).otherwise(line).alias("value"),
+        F.explode(F.array(F.when(value >= 200, cut).otherwise(line))).alias("value"),
         "masthead",
         F.when(F.col("site").startswith("m."), "mobile").otherwise("desktop").alias("device"),
     )

@@ -148,7 +148,7 @@ def test_file_names_give_masthead_and_device(spark, click_files):
 
 def sample(spark):
     clicks = spark.createDataFrame(
-        [("a", WEEK_45, "smh", "smh", "x", {"k": "v"}), ("b", WEEK_45 + 7 * 86_400_000, "theage", "theage", None, {})],
+        [("a", WEEK_45, "smh", "smh", "x", {"k": "v"}), ("b", WEEK_45 + 7 * 86_400_000, "theage", "theage", None, {"title": "no", "brace}": "{,}", "none": None})],
         "trackingId string, timestamp bigint, site string, masthead string, title string, extras map<string,string>",
     )
     return sessionise(clicks)
@@ -163,7 +163,10 @@ def test_json_lines_are_flat_strings_and_read_back(spark, tmp_path):
     assert one["k"] == "v" and one["numPage"] == "1" and one["sessionId"] == f"{WEEK_45}a"
     back = sessionised.read_json(spark, path)
     columns = ("trackingId", "timestamp", "title", "sessionStart", "sessionId", "numPage", "masthead", "extras")
-    assert rows(back, *columns) == rows(sample(spark), *columns)
+    want = sample(spark).withColumn(
+        "extras", F.map_filter("extras", lambda k, v: (k != "title") & v.isNotNull())
+    )
+    assert rows(back, *columns) == rows(want, *columns)
 
 
 def test_parquet_folders_are_pruned(spark, tmp_path):
