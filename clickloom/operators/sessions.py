@@ -53,8 +53,16 @@ def _mark() -> Column:
     return F.concat_ws("|", "masthead", "timestamp")
 
 
+MARKS = ("_reloadTimes", "_reloads")
+
+
 def _is_marked() -> Column:
-    return F.coalesce(F.array_contains("_reloads", _mark()), F.lit(False))
+    # Numbers first: even a slot with thousands of marks is scanned in
+    # microseconds, and texts are compared at marked instants only.
+    marked = F.array_contains("_reloadTimes", F.col("timestamp")) & F.array_contains(
+        "_reloads", _mark()
+    )
+    return F.coalesce(marked, F.lit(False))
 
 
 def _slot_summaries_without(
@@ -63,20 +71,25 @@ def _slot_summaries_without(
     """Summaries of the views that stay, each with the marks of those that go."""
     mark_keys = [key for key in (*keys, "_slot") if key in reloads.columns]
     # At most one mark per masthead and instant of a slot; in practice a handful.
-    marks = reloads.groupBy(*mark_keys).agg(F.collect_set(_mark()).alias("_reloads"))
+    marks = reloads.groupBy(*mark_keys).agg(
+        F.collect_set("timestamp").alias("_reloadTimes"), F.collect_set(_mark()).alias("_reloads")
+    )
     moments = clicks.groupBy(
         *dict.fromkeys((*keys, "_slot", "masthead", "timestamp"))
     ).agg(F.count("*").alias("_views"))
-    return (
+    kept = (
         moments.join(marks, mark_keys, "left")
         .where(~_is_marked())
-        .groupBy(*keys, "_slot", "_reloads")
+        .groupBy(*keys, "_slot")
         .agg(
             F.min("timestamp").alias("_first"),
             F.max("timestamp").alias("_last"),
             F.sum("_views").alias("_views"),
         )
     )
+    # Joined once more rather than carried along with every instant of a slot;
+    # both joins read the same shuffle.
+    return kept.join(marks, mark_keys, "left")
 
 
 def sessionise(
@@ -113,7 +126,7 @@ def sessionise(
         return rows.withColumns(added)
 
     clicks = clicks.transform(slotted)
-    carry = [] if reloads is None else ["_reloads"]
+    carry = [] if reloads is None else MARKS
     slots = _slot_summaries(clicks, keys) if reloads is None else _slot_summaries_without(
         clicks, keys, reloads.transform(slotted)
     )
@@ -121,7 +134,7 @@ def sessionise(
     # slot can be split at run time.
     joined = clicks.join(session_slots(slots, keys, gap_ms, carry), [*keys, "_slot"])
     if reloads is not None:
-        joined = joined.where(~_is_marked()).drop("_reloads")
+        joined = joined.where(~_is_marked()).drop(*MARKS)
 
     session_id = [F.col("sessionStart").cast("string"), F.col("trackingId")]
     if by_day:
