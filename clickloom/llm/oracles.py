@@ -74,6 +74,29 @@ GROUP BY doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 """
 
 
+_SUBSTRING = """
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), hit AS (
+  SELECT doc_id, pos, array_to_string(w[pos:pos + 19], ' ') AS win
+  FROM (SELECT doc_id, unnest(range(1, greatest(len(w) - 18, 1))) AS pos, w FROM split)
+), later AS (
+  SELECT doc_id, pos FROM hit QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1
+), cut AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later
+), word AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM split
+), counted AS (
+  SELECT word.doc_id, count(*) AS n_words, count(cut.pos) AS n_removed,
+         string_agg(word, ' ' ORDER BY word.pos) FILTER (cut.pos IS NULL) AS kept
+  FROM word LEFT JOIN cut USING (doc_id, pos) GROUP BY word.doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN counted USING (doc_id)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op6_substring_dedup": _SUBSTRING,
     "op7_quality_rules": _quality_sql(),
 }

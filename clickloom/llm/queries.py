@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.llm.common import table
 from clickloom.llm.quality import judged
+from clickloom.llm.substring import removed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,14 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+def _substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return removed(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op6_substring_dedup": _substring,
     "op7_quality_rules": _quality,
 }
