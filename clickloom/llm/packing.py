@@ -2,9 +2,10 @@
 
 Only lengths matter for packing and there are at most ``capacity`` of them, so
 the plan is made from their histogram: patterns of lengths, each with the number
-of sequences that follow it.  Exact complements come first: for the longest length left, the gap
-beside it is looked up among single lengths, sums of two and sums of three that
-are still available; only what completes no gap exactly is placed by best fit.
+of sequences that follow it.  For the longest length left, the gap beside it is
+looked up among single lengths, sums of two and sums of three that are still
+available; where none completes it, the longest that fits goes in and the gap
+that remains is looked up again.
 Pieces then find their sequence by their rank among pieces of equal length, so
 no piece passes through the driver.
 """
@@ -143,47 +144,45 @@ def _completing(left: np.ndarray, gap: int, parts: int, most: int) -> tuple[int,
     return None
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths and how many sequences follow each; every piece is placed once."""
+def _plan(counts: dict[int, int], capacity: int, most_parts: int) -> list[tuple[tuple[int, ...], int]]:
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] += n
     patterns: list[tuple[tuple[int, ...], int]] = []
-
-    def use(pattern: tuple[int, ...]) -> None:
-        lengths, needs = np.unique(pattern, return_counts=True)
-        times = int((left[lengths] // needs).min())
-        left[lengths] -= times * needs
-        patterns.append((pattern, times))
-
-    for parts in (0, 1, 2, 3):  # parts beside the longest, exact fits of the fewest parts first
-        for longest in range(capacity, 0, -1):
-            while left[longest]:
-                left[longest] -= 1
-                rest = () if longest == capacity else None
-                if parts and longest < capacity:
-                    rest = _completing(left, capacity - longest, parts, longest)
-                left[longest] += 1
-                if rest is None:
-                    break
-                use((longest, *rest))
-    while left.any():  # best fit: the longest left, then again and again the longest that still fits
-        pattern: list[int] = []
-        room = capacity
-        while room:
-            fitting = np.flatnonzero(left[1 : room + 1])
-            if not len(fitting):
-                break
-            longest = int(fitting[-1]) + 1
-            pattern.append(longest)
+    for longest in range(capacity, 0, -1):
+        while left[longest]:
+            pattern, room, most = [longest], capacity - longest, longest
             left[longest] -= 1
-            room -= longest
-        for length in pattern:
-            left[length] += 1
-        use(tuple(pattern))
+            while room:
+                exact = (_completing(left, room, n, most) for n in range(1, most_parts + 1))
+                parts = next(filter(None, exact), None)
+                if parts is None:  # nothing completes it: best fit, then look again
+                    fitting = np.flatnonzero(left[1 : min(room, most) + 1])
+                    if not len(fitting):
+                        break
+                    parts = (int(fitting[-1]) + 1,)
+                pattern += parts
+                np.subtract.at(left, list(parts), 1)
+                room, most = room - sum(parts), parts[-1]
+            lengths, needs = np.unique(pattern, return_counts=True)
+            left[lengths] += needs
+            times = int((left[lengths] // needs).min())
+            left[lengths] -= times * needs
+            patterns.append((tuple(pattern), times))
     return patterns
 
 
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of lengths and how many sequences follow each; every piece is placed once.
+
+    Complements of up to three, two, one or no parts are tried; the plan of fewest sequences wins.
+    """
+    return min(
+        (_plan(counts, capacity, parts) for parts in (3, 2, 1, 0)),
+        key=lambda patterns: sum(times for _, times in patterns),
+    )
+
+
 #: Pieces of one length are ranked in groups of about this many.
 _RANKED_TOGETHER = 100_000
 
