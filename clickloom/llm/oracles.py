@@ -96,7 +96,33 @@ FROM documents LEFT JOIN counted USING (doc_id)
 """
 
 
+_NGRAM_JOIN = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[pos:pos + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS pos FROM split WHERE len(w) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), overlap AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM overlap JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * overlap.n >= 75 * (x.n + y.n - overlap.n)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op6_substring_dedup": _SUBSTRING,
     "op7_quality_rules": _quality_sql(),
+    "op10_ngram_jaccard_join": _NGRAM_JOIN,
 }

@@ -183,8 +183,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     )
 
 
-#: Pieces of one length are ranked in groups of about this many.
-_RANKED_TOGETHER = 100_000
+#: Pieces are ranked within their length in groups; so many pieces of any length to a group number.
+_RANKED_TOGETHER = 10_000
 
 
 def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:

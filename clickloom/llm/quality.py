@@ -190,22 +190,19 @@ def fences(counts: DataFrame) -> DataFrame:
     )
     bounds = F.struct(*(f"{side}_{m}" for m in MEASURES for side in ("low", "high"))).alias("bounds")
     wide = wide.select("level", "lang", "source", "total", bounds)
-    own = wide.where("level = 2").select("lang", "source", F.col("total").alias("n2"), F.col("bounds").alias("own"))
-    by_lang = wide.where("level = 1").select("lang", F.col("total").alias("n1"), F.col("bounds").alias("of_lang"))
-    overall = wide.where("level = 0").select("lang", F.col("bounds").alias("of_all"))
-    return (
-        own.join(by_lang, "lang")
-        .withColumn("everything", F.lit(""))
-        .join(overall.withColumnRenamed("lang", "everything"), "everything")
-        .select(
-            "lang",
-            "source",
-            F.when(F.col("n2") >= MIN_GROUP, F.col("own"))
-            .when(F.col("n1") >= MIN_GROUP, F.col("of_lang"))
-            .otherwise(F.col("of_all"))
-            .alias("bounds"),
-        )
+    sizes = wide.where("level = 2").select("lang", "source", F.col("total").alias("n2"))
+    of_lang = wide.where("level = 1").select("lang", F.col("total").alias("n1"))
+    level = F.when(F.col("n2") >= MIN_GROUP, 2).when(F.col("n1") >= MIN_GROUP, 1).otherwise(0)
+    used = sizes.join(of_lang, "lang").select("lang", "source", level.alias("level"))
+    used = used.select(
+        "*",
+        F.when(F.col("level") > 0, F.col("lang")).otherwise("").alias("_lang"),
+        F.when(F.col("level") == 2, F.col("source")).otherwise("").alias("_source"),
+    )
+    borrowed = wide.select(
+        "level", F.col("lang").alias("_lang"), F.col("source").alias("_source"), "bounds"
     )
+    return used.join(borrowed, ["level", "_lang", "_source"]).select("lang", "source", "bounds")
 
 
 def judged(docs: DataFrame) -> DataFrame:

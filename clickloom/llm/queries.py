@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import table
+from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality import judged
 from clickloom.llm.substring import removed
@@ -30,8 +31,13 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
 
 
+def _ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": _packing,
     "op6_substring_dedup": _substring,
     "op7_quality_rules": _quality,
+    "op10_ngram_jaccard_join": _ngram_join,
 }
