@@ -56,3 +56,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Key tables of up to this many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(keys: DataFrame) -> DataFrame:
+    """A written key table (an id and few numbers a row), marked for broadcast if it has few rows."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import lower_ascii, words, written
+from clickloom.llm.common import lower_ascii, small, words, written
 from clickloom.llm.graph import components, forest
 from clickloom.llm.hashing import Windows, flat, mixed
 
@@ -41,8 +41,6 @@ FEW = 32
 MOST_LAST = 1 << 20
 #: A tile holds documents of about this many shingles, each document counting 256 more.
 TILE = 1 << 18
-#: Key tables up to this many rows (about 16 bytes each) are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def shingle_sets(lists: pa.Array) -> list[np.ndarray]:
@@ -94,11 +92,6 @@ def _common_shingles(hashed: DataFrame) -> np.ndarray:
     return np.sort(counts.select("token").toPandas()["token"].to_numpy(np.int64))
 
 
-def _small(keys: DataFrame) -> DataFrame:
-    """A written key table, marked for broadcast if it has few rows."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-
-
 def _column_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token: pairs of documents in one column, with how many columns of the batch they share."""
     names = ["token", "rep", "n", "common"]
@@ -237,7 +230,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     same = sets.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     members = written(sets.join(same, ["n", "d1", "d2"]).select("doc_id", "n", "rep"), "members")
     copies = members.where("doc_id != rep").select("doc_id")
-    matrix = rows.where("n > 0").join(_small(copies), "doc_id", "left_anti")
+    matrix = rows.where("n > 0").join(small(copies), "doc_id", "left_anti")
     few = matrix.select(
         F.col("doc_id").alias("rep"), "n", "common",
         F.explode(F.slice("prefix", F.lit(1), (F.size("prefix") - F.col("common")).cast("int"))).alias("token"),
@@ -299,7 +292,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
                 ["rep", "shingles"],
             )
 
-    chosen = _small(tiled.select("rep"))
+    chosen = small(tiled.select("rep"))
     full = (
         hashed.join(chosen, hashed["doc_id"] == chosen["rep"])
         .select("rep", "hashes")

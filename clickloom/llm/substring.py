@@ -5,11 +5,12 @@ hashed.  Every distance modulo 13 is a difference of two of these, so whenever
 20 words occur at two places, some position within the first 13 of them is
 covered at both, and the 8 words from there (an anchor) are hashed at both.
 
-1. Anchors of all documents are shuffled by hash; those found once are dropped.
-2. Only windows that hold a repeated anchor are extended to their 20 words, hashed
+1. Documents whose words are wholly those of an earlier one are settled by their digests.
+2. Anchors of the others are shuffled by hash; those found once are dropped.
+3. Only windows that hold a repeated anchor are extended to their 20 words, hashed
    with 128 bits, and shuffled by that hash in (doc_id, start) order; all but the
    first of each hash are repeats.
-3. Words under repeats are cut out of the documents.
+4. Words under repeats are cut out of the documents.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import let, words
+from clickloom.llm.common import let, small, words, written
 from clickloom.llm.hashing import Windows, flat, positions, repeats
 
 WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+_STRETCHES = "doc_id long, stretches array<struct<a:int,b:int>>"
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,23 +56,49 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield batch.select(["doc_id", "at"])
 
 
+def _stretches(batch: pa.RecordBatch, column: str, before: int, after: int) -> pa.RecordBatch:
+    """Positions p of a document to the merged stretches of all [p - before, p + after)."""
+    values, begins, sizes = flat(batch.column(column))
+    counts, lows, highs = [], [], []
+    for begin, size in zip(begins, sizes):
+        at = np.unique(values[begin : begin + size]).astype(np.int64)
+        new = np.flatnonzero(np.diff(at) > before + after) + 1
+        lows.append(np.maximum(at[np.concatenate([[0], new])] - before, 0))
+        highs.append(at[np.concatenate([new - 1, [len(at) - 1]])] + after)
+        counts.append(len(new) + 1)
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lows, highs))
+    pairs = pa.StructArray.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32())], ["a", "b"])
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pairs)], ["doc_id", "stretches"]
+    )
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeated anchors to the starts of the windows that hold them."""
+    for batch in batches:
+        yield _stretches(batch, "marks", PERIOD - 1, 1)
+
+
+def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Starts of repeated windows to the words they cover."""
+    for batch in batches:
+        yield _stretches(batch, "starts", 0, WINDOW)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the windows that hold a repeated anchor."""
+    """Hashes of the windows that start in a document's stretches."""
     for batch in batches:
         values, begins, sizes = flat(batch.column("hashes"))
-        marks, mark_begins, mark_sizes = flat(batch.column("marks"))
-        row, nth = positions(mark_sizes)
-        end = int(sizes.sum())
-        starts = np.cumsum(sizes) - sizes
-        edge = np.zeros(end + 1, dtype=np.int32)  # +1 where candidates begin, -1 where they end
-        mark = marks[mark_begins[row] + nth]
-        first = np.maximum(mark - PERIOD + 1, 0)
-        last = np.minimum(mark, sizes[row] - WINDOW)
-        np.add.at(edge, starts[row] + first, 1)
-        np.add.at(edge, starts[row] + last + 1, -1)
-        chosen = np.flatnonzero(np.cumsum(edge[:end]) > 0)
-        owner, at = positions(sizes)
-        owner, at = owner[chosen], at[chosen]
+        lists = batch.column("stretches")
+        offsets = lists.offsets.to_numpy()
+        inner = lists.values
+        low = inner.field("a").to_numpy().astype(np.int64)[offsets[0] : offsets[-1]]
+        high = inner.field("b").to_numpy().astype(np.int64)[offsets[0] : offsets[-1]]
+        row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        high = np.minimum(high, sizes[row] - WINDOW + 1)
+        which, nth = positions(np.maximum(high - low, 0))
+        owner, at = row[which], low[which] + nth
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         where = begins[owner] + at
         yield pa.RecordBatch.from_arrays(
@@ -89,32 +117,31 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["doc_id", "at"])
 
 
-def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Starts of repeats to the stretches [a, b) of words they cover."""
-    for batch in batches:
-        cuts = []
-        values, begins, sizes = flat(batch.column("starts"))
-        for begin, size in zip(begins, sizes):
-            starts = np.unique(values[begin : begin + size])
-            new = np.flatnonzero(np.diff(starts) > WINDOW) + 1
-            a = starts[np.concatenate([[0], new])]
-            b = starts[np.concatenate([new - 1, [len(starts) - 1]])] + WINDOW
-            cuts.append([{"a": int(x), "b": int(y)} for x, y in zip(a, b)])
-        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(cuts, kind)], ["doc_id", "cuts"]
-        )
-
-
 def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """(doc_id, cuts): the stretches [a, b) of word positions to remove, only for documents that have some.
+    """(doc_id, stretches): the stretches [a, b) of word positions to remove, only for documents that have some.
 
     ``doc_id`` names a document: rows that repeat one are taken as that document
     again, not as an earlier one.  Rows with a null id or text take no part.
     """
-    hashed = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"),
+    found = docs.where("doc_id is not null and text is not null").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), words(F.col("text")).alias("words")
+    )
+    # a document with the words of an earlier one goes whole, and no other needs to look at it
+    digests = written(
+        found.where(F.size("words") >= WINDOW).select(
+            "doc_id",
+            F.size("words").alias("n"),
+            F.xxhash64("words").alias("d1"),
+            F.xxhash64(F.lit(1), "words").alias("d2"),
+        ),
+        "digests",
+    )
+    first = digests.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
+    copies = written(
+        digests.join(first, ["n", "d1", "d2"]).where("doc_id != first").select("doc_id", "n").distinct(), "copies"
+    )
+    hashed = found.join(small(copies.select("doc_id")), "doc_id", "left_anti").select(
+        "doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
     )
     marks = (
         hashed.mapInArrow(_anchors, "anchor long, doc_id long, at int")
@@ -124,15 +151,20 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.collect_set("at").alias("marks"))
     )
-    later = (
-        hashed.join(marks, "doc_id")
+    candidates = written(marks.mapInArrow(_candidates, _STRETCHES), "candidates")
+    starts = (
+        hashed.join(small(candidates), "doc_id")
         .mapInArrow(_windows, "h1 long, h2 long, doc_id long, at int")
         .repartition("h1", "h2")
         .sortWithinPartitions("h1", "h2", "doc_id", "at")
         .mapInArrow(_later, "doc_id long, at int")
+        .groupBy("doc_id")
+        .agg(F.collect_set("at").alias("starts"))
     )
-    starts = later.groupBy("doc_id").agg(F.collect_set("at").alias("starts"))
-    return starts.mapInArrow(_cuts, "doc_id long, cuts array<struct<a:int,b:int>>")
+    whole = copies.select(
+        "doc_id", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("stretches")
+    )
+    return written(starts.mapInArrow(_cuts, _STRETCHES).union(whole), "cuts")
 
 
 def _without(found: Column, cuts: Column) -> Column:
@@ -156,7 +188,9 @@ def removed(docs: DataFrame) -> DataFrame:
     those of the input.  Null and short texts lose nothing; an empty table stays empty.
     Columns of ``docs`` with those three names are replaced.
     """
-    stretches = repeated_stretches(docs).select(F.col("doc_id").alias("_cut_id"), "cuts")
+    stretches = small(repeated_stretches(docs)).select(
+        F.col("doc_id").alias("_cut_id"), F.col("stretches").alias("cuts")
+    )
     rows = docs.drop("n_words", "n_removed", "kept", "_cut_id", "cuts").join(
         stretches, F.col("doc_id").cast("bigint") == F.col("_cut_id"), "left"
     )
