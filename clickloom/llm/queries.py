@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import table
+from clickloom.llm.common import fold, table
+from clickloom.llm.langid import identified, train, training_rows
 from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality import judged
@@ -35,7 +36,15 @@ def _ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_components(table(spark, sf_dir, "documents"))
 
 
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identified(docs, train(training_rows(docs))).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": _language_id,
     "op5_best_fit_packing": _packing,
     "op6_substring_dedup": _substring,
     "op7_quality_rules": _quality,
