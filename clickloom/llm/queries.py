@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm import toxicity
 from clickloom.llm.common import fold, table
 from clickloom.llm.langid import identified, train, training_rows
 from clickloom.llm.ngram_join import linked_components
@@ -43,10 +44,19 @@ def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
+    return toxicity.scored(docs, machine).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _language_id,
     "op5_best_fit_packing": _packing,
     "op6_substring_dedup": _substring,
     "op7_quality_rules": _quality,
+    "op8_toxicity": _toxicity,
     "op10_ngram_jaccard_join": _ngram_join,
 }
