@@ -48,7 +48,20 @@ def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.diff(offsets)
     if lists.null_count:
         sizes = np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, sizes)
-    return lists.values.to_numpy(zero_copy_only=False), offsets[:-1], sizes
+    values = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+    return values.to_numpy(zero_copy_only=False), offsets[:-1] - offsets[0], sizes
+
+
+def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose lists in ``column`` hold about ``most`` values together, one row at least."""
+    for batch in batches:
+        ends = np.asarray(batch.column(column).offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            stop = int(np.searchsorted(ends, ends[begin] + most, side="right")) - 1
+            stop = min(max(stop, begin + 1), batch.num_rows)
+            yield batch.slice(begin, stop - begin)
+            begin = stop
 
 
 def positions(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

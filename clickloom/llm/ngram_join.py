@@ -12,7 +12,8 @@ of each (the prefix), so only prefixes are multiplied at first:
   A pair is dropped if what it shares so far and all that lies beyond the prefixes
   cannot reach the overlap its sizes ask for.
 * Columns with many documents: no pairs.  The column's documents are tied
-  to one of them by size class, as those of far different size cannot link.
+  to one of them.  (Pairs that share such a column are tied whatever the sums say, so
+  the sums need not count it.)
 
 What remains falls into connected blocks, so that linked documents are always in
 one block.  The product over whole sets is taken block by block, large blocks in
@@ -31,12 +32,14 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import lower_ascii, small, words, written
 from clickloom.llm.graph import components, forest
-from clickloom.llm.hashing import Windows, flat, mixed
+from clickloom.llm.hashing import Windows, flat, mixed, portions
 
 SHINGLE = 5
 PERCENT = 75
 #: Columns with more prefixes than this are put last in the order.
 FEW = 32
+#: Columns that turn out to hold more than this are tied together, not paired.
+MANY = 4 * FEW
 #: At most so many columns are put last, those of the most documents; any choice gives the same links.
 MOST_LAST = 1 << 20
 #: A tile holds documents of about this many shingles, each document counting 256 more.
@@ -63,8 +66,9 @@ def prefix_length(n):
 
 
 def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [s[: prefix_length(len(s))] for s in shingle_sets(batch.column("hashes")) if len(s)]
+    """How many documents hold a shingle near the front, half a prefix beyond the prefix included."""
+    for batch in portions(batches, "hashes"):
+        sets = [s[: 3 * prefix_length(len(s)) // 2] for s in shingle_sets(batch.column("hashes")) if len(s)]
         token, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.int64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
 
@@ -92,55 +96,78 @@ def _common_shingles(hashed: DataFrame) -> np.ndarray:
     return np.sort(counts.select("token").toPandas()["token"].to_numpy(np.int64))
 
 
-def _column_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token: pairs of documents in one column, with how many columns of the batch they share."""
-    names = ["token", "rep", "n", "common"]
-    tail: list[np.ndarray] = [np.zeros(0, np.int64)] * 4
+def _pairs_in_columns(token: np.ndarray, rep: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Of rows sorted by token: pairs of documents in one column, how many of these columns they
+    share, and how many they must share in all to be able to link."""
+    begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    sizes = np.diff(np.concatenate([begins, [len(token)]]))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for size in np.unique(sizes[sizes > 1]):
+        heads = begins[sizes == size]
+        for gap in range(1, size):  # a column's documents against those `gap` further on
+            i = (heads[:, None] + np.arange(size - gap)).ravel()
+            left.append(i)
+            right.append(i + gap)
+    i, j = np.concatenate(left), np.concatenate(right)
+    near = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+    i, j = i[near], j[near]
+    swap = rep[i] > rep[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    order = np.lexsort((rep[j], rep[i]))
+    i, j = i[order], j[order]
+    new = np.ones(len(i), dtype=bool)
+    new[1:] = (rep[i][1:] != rep[i][:-1]) | (rep[j][1:] != rep[j][:-1])
+    head = np.flatnonzero(new)
+    shared = np.diff(np.concatenate([head, [len(i)]]))
+    i, j = i[head], j[head]
+    beyond = np.maximum(n[i] - prefix_length(n[i]), n[j] - prefix_length(n[j]))
+    needed = -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT)) - beyond
+    columns = (rep[i], rep[j], needed, shared)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["u", "v", "needed", "shared"])
+
+
+def _ties(hub: int, reps: np.ndarray) -> pa.RecordBatch:
+    """Every document of a column tied to one of them; kept whatever it shares elsewhere."""
+    one = np.ones(len(reps), dtype=np.int64)
+    columns = (np.minimum(hub, reps), np.maximum(hub, reps), one, one)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["u", "v", "needed", "shared"])
 
-    def pairs(token, rep, n, common):
-        begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        sizes = np.diff(np.concatenate([begins, [len(token)]]))
-        left, right = [], []
-        for size in np.unique(sizes[sizes > 1]):
-            heads = begins[sizes == size]
-            for gap in range(1, size):  # a column's documents against those `gap` further on
-                i = (heads[:, None] + np.arange(size - gap)).ravel()
-                left.append(i)
-                right.append(i + gap)
-        if not left:
-            return None
-        i, j = np.concatenate(left), np.concatenate(right)
-        near = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
-        i, j = i[near], j[near]
-        swap = rep[i] > rep[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        order = np.lexsort((rep[j], rep[i]))
-        i, j = i[order], j[order]
-        new = np.ones(len(i), dtype=bool)
-        new[1:] = (rep[i][1:] != rep[i][:-1]) | (rep[j][1:] != rep[j][:-1])
-        head = np.flatnonzero(new)
-        shared = np.diff(np.concatenate([head, [len(i)]]))
-        i, j = i[head], j[head]
-        prefix = prefix_length(n)
-        beyond = np.maximum(n[i] - prefix[i], n[j] - prefix[j]) + np.minimum(common[i], common[j])
-        lacking = -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT)) - beyond
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (rep[i], rep[j], lacking, shared)], ["u", "v", "lacking", "shared"]
-        )
 
+def _column_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by token: pairs from columns of up to ``MANY`` documents, ties from larger ones.
+
+    The last column of a batch waits for the next batch, as at most ``MANY`` rows or its one hub.
+    """
+    held = [np.zeros(0, np.int64)] * 3
+    hot: tuple[int, int] | None = None  # token and hub of a large column that may go on
     for batch in batches:
-        columns = [
-            np.concatenate([t, batch.column(c).to_numpy().astype(np.int64)]) for t, c in zip(tail, names)
-        ]
-        token = columns[0]
+        rows = [batch.column(c).to_numpy().astype(np.int64) for c in ("token", "rep", "n")]
+        if hot is not None:
+            more = int(np.searchsorted(rows[0], hot[0], side="right"))
+            if more:
+                yield _ties(hot[1], rows[1][:more])
+            rows = [r[more:] for r in rows]
+            if len(rows[0]):
+                hot = None
+        rows = [np.concatenate(x) for x in zip(held, rows)]
+        token, rep, n = rows
         if not len(token):
             continue
-        cut = int(np.searchsorted(token, token[-1]))  # the last token may go on in the next batch
-        if cut and (found := pairs(*(c[:cut] for c in columns))) is not None:
-            yield found
-        tail = [c[cut:] for c in columns]
-    if len(tail[0]) and (found := pairs(*tail)) is not None:
-        yield found
+        begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        sizes = np.diff(np.concatenate([begins, [len(token)]]))
+        for begin, size in zip(begins[sizes > MANY], sizes[sizes > MANY]):
+            yield _ties(int(rep[begin]), rep[begin + 1 : begin + size])
+        last = begins[-1]
+        if sizes[-1] > MANY:
+            hot = (int(token[last]), int(rep[last]))
+            held = [np.zeros(0, np.int64)] * 3
+        else:
+            held = [r[last:] for r in rows]
+        few = np.repeat(sizes <= MANY, sizes)
+        few[last:] = False
+        yield _pairs_in_columns(token[few], rep[few], n[few])
+    if len(held[0]):
+        yield _pairs_in_columns(*held)
 
 
 def _tile_links(group: pa.Table) -> pa.Table:
@@ -187,7 +214,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     last = spark.sparkContext.broadcast(_common_shingles(hashed))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, "hashes"):
             sets = shingle_sets(batch.column("hashes"))
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             every = np.concatenate(sets) if sets else np.zeros(0, np.int64)
@@ -232,20 +259,20 @@ def linked_components(docs: DataFrame) -> DataFrame:
     copies = members.where("doc_id != rep").select("doc_id")
     matrix = rows.where("n > 0").join(small(copies), "doc_id", "left_anti")
     few = matrix.select(
-        F.col("doc_id").alias("rep"), "n", "common",
+        F.col("doc_id").alias("rep"),
+        F.col("n").cast("int").alias("n"),
         F.explode(F.slice("prefix", F.lit(1), (F.size("prefix") - F.col("common")).cast("int"))).alias("token"),
-    )
+    )
     counted = (
-        few.select("token", "rep", F.col("n").cast("int"), F.col("common").cast("int"))
-        .repartition("token")
+        few.repartition("token")
         .sortWithinPartitions("token", "rep")
-        .mapInArrow(_column_pairs, "u long, v long, lacking long, shared long")
+        .mapInArrow(_column_pairs, "u long, v long, needed long, shared long")
         .groupBy("u", "v")
-        .agg(F.sum("shared").alias("shared"), F.max("lacking").alias("lacking"))
-        .where("shared >= lacking")
+        .agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed"))
+        .where("shared >= needed")
         .select("u", "v")
     )
-    step = math.log(100 / PERCENT)
+    step = math.log(100 / PERCENT) * 1.01  # sizes that can link are never two classes apart
     many = matrix.where("common > 0").select(
         F.col("doc_id").alias("rep"),
         F.floor(F.log("n") / step).alias("size_class"),
@@ -286,7 +313,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, "hashes"):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), pa.array(shingle_sets(batch.column("hashes")), pa.list_(pa.int64()))],
                 ["rep", "shingles"],

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import let, small, words, written
-from clickloom.llm.hashing import Windows, flat, positions, repeats
+from clickloom.llm.hashing import Windows, flat, portions, positions, repeats
 
 WINDOW = 20
 PERIOD = 13
@@ -34,7 +34,7 @@ _STRETCHES = "doc_id long, stretches array<struct<a:int,b:int>>"
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     covered = np.isin(np.arange(PERIOD), COVER)
-    for batch in batches:
+    for batch in portions(batches, "hashes"):
         values, begins, sizes = flat(batch.column("hashes"))
         room = np.maximum(sizes - WINDOW + PERIOD, 0) * (sizes >= WINDOW)  # anchor starts
         row, at = positions(room)
@@ -88,7 +88,7 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the windows that start in a document's stretches."""
-    for batch in batches:
+    for batch in portions(batches, "hashes"):
         values, begins, sizes = flat(batch.column("hashes"))
         lists = batch.column("stretches")
         offsets = lists.offsets.to_numpy()
