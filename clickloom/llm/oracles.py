@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import quality
+from clickloom.llm import quality, url_filters
 
 
 def _quality_sql() -> str:
@@ -121,7 +121,65 @@ FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
 """
 
 
+def _url_sql() -> str:
+    rules = sorted(url_filters.RULES, key=lambda r: (-len(r[1]), r[1]))
+
+    def case(pick: int) -> str:
+        whens = []
+        for rule in rules:
+            host, slash, path = rule[1].partition("/")
+            whens.append(
+                f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash}{path}') THEN '{rule[pick]}'"
+            )
+        return "CASE " + " ".join(whens) + " END"
+
+    prior, chars = url_filters.PRIOR, url_filters.CHARACTERS
+    levels = f"""
+level1 AS (SELECT gram, (a + {prior / chars}) / (sum(a) OVER () + {prior}) AS pa, (r + {prior / chars}) / (sum(r) OVER () + {prior}) AS pr
+           FROM (SELECT right(gram, 1) AS gram, sum(a) AS a, sum(r) AS r FROM gram GROUP BY 1))"""
+    for n in (2, 3, 4):
+        levels += f""",
+level{n} AS (SELECT t.gram, (a + {prior} * pa) / (sum(a) OVER (PARTITION BY t.gram[1:{n - 1}]) + {prior}) AS pa,
+                    (r + {prior} * pr) / (sum(r) OVER (PARTITION BY t.gram[1:{n - 1}]) + {prior}) AS pr
+             FROM (SELECT right(gram, {n}) AS gram, sum(a) AS a, sum(r) AS r FROM gram GROUP BY 1) t
+             JOIN level{n - 1} s ON s.gram = right(t.gram, {n - 1}))"""
+    return f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages
+), page AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), site AS (
+  SELECT host, path, {case(0)} AS decided, {case(1)} AS rule, '^^^' || host || path || '$' AS s,
+         md5(host || path)[1:1] IN {url_filters.CALIBRATING} AS calibrates
+  FROM (SELECT DISTINCT host, path FROM page)
+), place AS (
+  SELECT host, path, decided, calibrates, s[i:i + 3] AS gram FROM (SELECT *, unnest(range(1, len(s) - 2)) AS i FROM site)
+), gram AS (
+  SELECT gram, CAST(count(*) FILTER (NOT calibrates AND decided = 'allow') AS DOUBLE) AS a,
+         CAST(count(*) FILTER (NOT calibrates AND decided = 'block') AS DOUBLE) AS r FROM place GROUP BY gram
+), {levels},
+scored AS (
+  SELECT host, path, CAST(floor(sum(llr) / count(*)) AS BIGINT) AS llr
+  FROM place JOIN (SELECT gram, CAST(floor((ln(pa) - ln(pr)) * 1000000 + 0.5) AS BIGINT) AS llr FROM level4) USING (gram) GROUP BY host, path
+), stepped AS (
+  SELECT site.*, llr, CAST(floor(llr / {url_filters.STEP}) AS BIGINT) AS step FROM scored JOIN site USING (host, path)
+), kinds AS (
+  SELECT step, count(*) FILTER (decided = 'allow') AS a, count(*) FILTER (decided = 'block') AS r FROM stepped
+  WHERE calibrates AND decided IS NOT NULL GROUP BY step
+), gains AS (
+  SELECT step, sum(a) OVER () AS all_a, sum(r) OVER () AS all_r,
+         (sum(r) OVER (ORDER BY step) - r) * sum(a) OVER () - (sum(a) OVER (ORDER BY step) - a) * sum(r) OVER () AS gain FROM kinds
+), threshold AS (
+  SELECT coalesce((SELECT step FROM gains WHERE all_a > 0 AND all_r > 0 ORDER BY gain DESC, step LIMIT 1), 0) AS t
+)
+SELECT page_id, page.host, page.path, rule, coalesce(decided, CASE WHEN step >= t THEN 'allow' ELSE 'block' END) AS verdict, llr
+FROM page JOIN stepped USING (host, path), threshold
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op4_url_filters": _url_sql(),
     "op6_substring_dedup": _SUBSTRING,
     "op7_quality_rules": _quality_sql(),
     "op10_ngram_jaccard_join": _NGRAM_JOIN,

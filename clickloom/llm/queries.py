@@ -14,6 +14,7 @@ from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality import judged
 from clickloom.llm.substring import removed
+from clickloom.llm.url_filters import filtered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,8 +53,13 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtered(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _language_id,
+    "op4_url_filters": _url_filters,
     "op5_best_fit_packing": _packing,
     "op6_substring_dedup": _substring,
     "op7_quality_rules": _quality,
