@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import toxicity
+from clickloom.llm.ann import nearest
 from clickloom.llm.common import fold, table
 from clickloom.llm.langid import identified, train, training_rows
 from clickloom.llm.ngram_join import linked_components
@@ -57,8 +58,13 @@ def _url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filtered(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _language_id,
+    "op3_nearest_neighbours": _neighbours,
     "op4_url_filters": _url_filters,
     "op5_best_fit_packing": _packing,
     "op6_substring_dedup": _substring,
