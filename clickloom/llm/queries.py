@@ -15,6 +15,7 @@ from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality import judged
 from clickloom.llm.substring import removed
+from clickloom.llm.token_counts import token_counts
 from clickloom.llm.url_filters import filtered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,8 +63,13 @@ def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _language_id,
+    "op2_token_counts": _token_counts,
     "op3_nearest_neighbours": _neighbours,
     "op4_url_filters": _url_filters,
     "op5_best_fit_packing": _packing,

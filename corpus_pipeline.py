@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm.common import table, written
+from clickloom.llm.langid import keep_identified, train, training_rows
+from clickloom.llm.ngram_join import one_of_each
+from clickloom.llm.packing import packed_documents
 from clickloom.llm.quality import keep_good
+from clickloom.llm.substring import without_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,8 +21,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents mostly in one language; the model learns from labels among ``docs``."""
+    return keep_identified(docs, train(training_rows(docs)))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of smallest id."""
+    return one_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with repeated passages cut out of their text."""
+    return without_repeats(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts' token pieces with their places in sequences of 1024 tokens."""
+    return packed_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("substring dedup", substring_dedup),
+    ("best-fit packing", best_fit_packing),
 ]
 
 #: Language identification and tokenising are beyond SQL.
