@@ -13,6 +13,7 @@ from clickloom.llm.common import fold, table
 from clickloom.llm.langid import identified, train, training_rows
 from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
+from clickloom.llm.pieces import decoded, encoded
 from clickloom.llm.quality import judged
 from clickloom.llm.substring import removed
 from clickloom.llm.token_counts import token_counts
@@ -67,6 +68,16 @@ def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decoded(encoded(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        "ids_crc32",
+        (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))).alias("round_trip"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _language_id,
     "op2_token_counts": _token_counts,
@@ -76,5 +87,6 @@ QUERIES: dict[str, Query] = {
     "op6_substring_dedup": _substring,
     "op7_quality_rules": _quality,
     "op8_toxicity": _toxicity,
+    "op9_sentencepiece": _pieces,
     "op10_ngram_jaccard_join": _ngram_join,
 }
