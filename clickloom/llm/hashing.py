@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Odd multipliers, 5 modulo 8.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD95)
@@ -64,6 +65,19 @@ def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20
             begin = stop
 
 
+def by_bytes(batches: Iterable[pa.RecordBatch], column: int | str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts in ``column`` hold about ``most`` bytes together, one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        begin = 0
+        while begin < batch.num_rows:
+            stop = int(np.searchsorted(ends, ends[begin] + most, side="right")) - 1
+            stop = min(max(stop, begin + 1), batch.num_rows)
+            yield batch.slice(begin, stop - begin)
+            begin = stop
+
+
 def positions(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row number and position in its row, for every value of rows of these sizes."""
     rows = np.repeat(np.arange(len(sizes)), sizes)
@@ -79,28 +93,50 @@ def _same(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return same
 
 
-def repeats(
-    batches: Iterable[pa.RecordBatch], keys: list[str], first_too: bool
-) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by ``keys``, those whose key another row has; without each key's first row if so asked.
+def _after(held: pa.RecordBatch | None, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``batch`` behind the row held from before."""
+    return batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+
+
+def repeats(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``keys``, those whose key another row has.
 
     One row is carried from batch to batch, so a key of any number of rows takes no memory.
     """
-    held = None  # last row so far, and whether it is already known to repeat
-    known = False
+    held = None  # the last row so far
+    out = False  # whether it has been given out
     for batch in batches:
         if not batch.num_rows:
             continue
-        carried = held is not None
-        if carried:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        batch = _after(held, batch)
         same = _same(batch, keys)
-        after = np.concatenate([[known], same])
-        before = np.concatenate([same, [False]])
-        take = (after | before) if first_too else after
-        if carried:
-            take[0] = (before[0] and not known) if first_too else False
-        # the last row's fate may hang on the next batch; it goes out now only if settled
+        take = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        last = bool(take[-1])
+        if held is not None and out:
+            take[0] = False
+            last = last if batch.num_rows > 1 else True
         if take.any():
             yield batch.filter(pa.array(take))
-        held, known = batch.slice(batch.num_rows - 1), bool(after[-1])
+        held, out = batch.slice(batch.num_rows - 1), last
+
+
+def later(batches: Iterable[pa.RecordBatch], keys: list[str], place: list[str]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``keys`` and ``place``, those of a key at another place than its first."""
+    held = None
+    first_place = True  # whether the row held is at its key's first place
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = _after(held, batch)
+        new_key = np.concatenate([[True], ~_same(batch, keys)])
+        run = np.cumsum(np.concatenate([[True], ~_same(batch, keys + place)]))
+        group = np.cumsum(new_key) - 1
+        first = run == run[np.flatnonzero(new_key)][group]
+        if held is not None:
+            first |= (group == 0) & (np.arange(len(first)) == 0)  # given out before, if at all
+            if not first_place:
+                first[1:] &= group[1:] > 0
+        last = bool(first[-1]) if batch.num_rows > 1 or held is None else first_place
+        if not first.all():
+            yield batch.filter(pa.array(~first))
+        held, first_place = batch.slice(batch.num_rows - 1), last

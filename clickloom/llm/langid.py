@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import fold
+from clickloom.llm.hashing import by_bytes
 
 #: Model bounds: documents to learn from for each language (expected), and languages.
 TRAIN_DOCS = 4000
@@ -30,7 +31,7 @@ SMOOTHING = 0.5
 SWITCH = 8.0
 SCRIPT_SHARE = 0.01
 #: Scores held at once in a task (words times languages).
-CELLS = 1 << 23
+CELLS = 1 << 22
 
 #: First code points of stretches of one script, by Unicode block.
 SCRIPT_STARTS = (
@@ -104,7 +105,7 @@ class Model:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(language, bucket, count) of the n-grams of words; scripts of letters as buckets below 0."""
-    for batch in batches:
+    for batch in by_bytes(batches, "text"):
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
         lists = word_lists(batch.column("text"))
         for lang in set(langs):
@@ -255,7 +256,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text", key: str = "do
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(Model(*shipped.value))
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             found = list(judge.spans(batch.column(1)))
             verdicts = [judge.verdict(s) for s in found]
             names = judge.model.languages
@@ -284,7 +285,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.4) -> DataFr
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(Model(*shipped.value))
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             verdicts = (judge.verdict(s) for s in judge.spans(batch.column("text")))
             yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in verdicts], pa.bool_()))
 

@@ -169,9 +169,10 @@ scored AS (
   WHERE calibrates AND decided IS NOT NULL GROUP BY step
 ), gains AS (
   SELECT step, sum(a) OVER () AS all_a, sum(r) OVER () AS all_r,
+         coalesce(lag(step) OVER (ORDER BY step), step) AS before,
          (sum(r) OVER (ORDER BY step) - r) * sum(a) OVER () - (sum(a) OVER (ORDER BY step) - a) * sum(r) OVER () AS gain FROM kinds
 ), threshold AS (
-  SELECT coalesce((SELECT step FROM gains WHERE all_a > 0 AND all_r > 0 ORDER BY gain DESC, step LIMIT 1), 0) AS t
+  SELECT coalesce((SELECT CAST(floor((step + before) / 2) AS BIGINT) FROM gains WHERE all_a > 0 AND all_r > 0 ORDER BY gain DESC, step LIMIT 1), 0) AS t
 )
 SELECT page_id, page.host, page.path, rule, coalesce(decided, CASE WHEN step >= t THEN 'allow' ELSE 'block' END) AS verdict, llr
 FROM page JOIN stepped USING (host, path), threshold

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import written
+from clickloom.llm.hashing import by_bytes
 
 CAPACITY = 1024
 END_ID = 2
@@ -34,7 +35,7 @@ SPECIAL = {"<|endoftext|>": 50256}
 #: no pre-token of the vocabulary's pattern runs from another character into white space.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
-_CACHED_CHUNKS = 400_000
+_CACHED_CHUNKS = 300_000
 
 
 def default_vocabulary() -> str:
@@ -99,7 +100,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shipped.value)
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             rows: list[tuple] = []
             ids: list[np.ndarray] = []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):

@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from clickloom.llm.hashing import by_bytes, portions
+
 MARK = "▁"
-_CACHED_WORDS = 500_000
-_CACHED_PAIRS = 2_000_000
+_CACHED_WORDS = 300_000
+_CACHED_PAIRS = 500_000
 
 
 class Pieces:
@@ -159,19 +161,17 @@ def encoded(docs: DataFrame, model: str | None = None, merges: bool = True) -> D
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(*shipped.value, merges)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
-                coded = pieces.encode_batch(part.column(1).to_pylist())
-                offsets = [0]
-                for c in coded:
-                    offsets.append(offsets[-1] + len(c) // 4)
-                ids = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
-                crcs = pa.array([zlib.crc32(c) for c in coded], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), lists, crcs], ["doc_id", "text", "ids", "ids_crc32"]
-                )
+        for batch in by_bytes(batches, 1):
+            coded = pieces.encode_batch(batch.column(1).to_pylist())
+            offsets = [0]
+            for c in coded:
+                offsets.append(offsets[-1] + len(c) // 4)
+            ids = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
+            crcs = pa.array([zlib.crc32(c) for c in coded], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), lists, crcs], ["doc_id", "text", "ids", "ids_crc32"]
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
@@ -189,7 +189,7 @@ def decoded(rows: DataFrame, model: str | None = None) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(*shipped.value)
-        for batch in batches:
+        for batch in portions(batches, "ids"):
             texts = [pieces.decode(i or ()) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]

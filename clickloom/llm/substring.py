@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import let, small, words, written
-from clickloom.llm.hashing import Windows, flat, portions, positions, repeats
+from clickloom.llm.hashing import Windows, flat, later, portions, positions, repeats
 
 WINDOW = 20
 PERIOD = 13
@@ -52,7 +52,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in repeats(batches, ["anchor"], first_too=True):
+    for batch in repeats(batches, ["anchor"]):
         yield batch.select(["doc_id", "at"])
 
 
@@ -113,7 +113,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in repeats(batches, ["h1", "h2"], first_too=False):
+    for batch in later(batches, ["h1", "h2"], ["doc_id", "at"]):
         yield batch.select(["doc_id", "at"])
 
 

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.hashing import by_bytes
+
 #: What the public vocabulary puts before a word.
 MARK = "▁"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -110,7 +112,7 @@ def token_counts(docs: DataFrame, pieces: list[str] | None = None) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _Counts(Automaton(shipped.value))
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             n_words, n_tokens, n_unknown = [], [], []
             for text in batch.column(1).to_pylist():
                 found = [counts[w] for w in _WORD.findall(text)] if text else []

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import fold
+from clickloom.llm.hashing import by_bytes
 
 #: The classifier's bounds: labelled rows it is fitted on (expected), hash buckets, buckets kept.
 TRAIN_ROWS = 24_000
@@ -117,7 +118,7 @@ def fit(kept: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: int
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_bytes(batches, "text"):
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
         row, bucket = term_rows(batch.column("text"))
         held, place = np.unique(bucket, return_inverse=True)
@@ -166,16 +167,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     kept = np.sort(best["bucket"].to_numpy(np.int64))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             row, term = term_rows(batch.column("text"), kept)
             parts = np.split(term, np.searchsorted(row, np.arange(1, batch.num_rows)))[: batch.num_rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(parts, pa.list_(pa.int64()))], ["toxic", "terms"]
             )
 
-    sample = rows.mapInArrow(terms, "toxic int, terms array<long>").orderBy("toxic", "terms").toArrow()
-    lists = [np.asarray(x, dtype=np.int64) for x in sample.column("terms").to_pylist()]
-    return fit(kept, lists, sample.column("toxic").to_numpy().astype(float))
+    sample = rows.mapInArrow(terms, "toxic int, terms array<long>").toArrow()  # bounded by TRAIN_ROWS
+    toxic_first = zip(sample.column("toxic").to_pylist(), sample.column("terms").to_pylist())
+    known_order = sorted(toxic_first)  # the order of rows must not matter
+    lists = [np.asarray(terms, dtype=np.int64) for _, terms in known_order]
+    return fit(kept, lists, np.array([toxic for toxic, _ in known_order], dtype=float))
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -186,7 +189,7 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine(*shipped.value)
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(machine.scores(batch.column(1)))], ["doc_id", "score"]
             )

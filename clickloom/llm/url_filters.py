@@ -88,7 +88,10 @@ def gram_scores(grams: DataFrame) -> DataFrame:
 
 
 def _threshold(scored: DataFrame) -> int:
-    """The step from which on calibrating urls are best called accepted: most of both kinds right, on average."""
+    """The step from which on calibrating urls are best called accepted: most of both kinds right, on average.
+
+    Halfway from the step before, as nothing is known in between.
+    """
     kinds = scored.where("calibrates").groupBy("step").agg(
         F.count_if(F.col("decided") == "allow").alias("a"), F.count_if(F.col("decided") == "block").alias("r")
     )
@@ -101,10 +104,11 @@ def _threshold(scored: DataFrame) -> int:
         F.sum("r").over(everything).alias("all_r"),
         F.coalesce(F.sum("a").over(below), F.lit(0)).alias("lost"),
         F.coalesce(F.sum("r").over(below), F.lit(0)).alias("caught"),
+        F.coalesce(F.max("step").over(below), F.col("step")).alias("before"),
     ).where("all_a > 0 and all_r > 0")
     gain = F.col("caught") * F.col("all_a") - F.col("lost") * F.col("all_r")
-    best = right.orderBy(gain.desc(), "step").select("step").first()
-    return best["step"] if best else 0
+    best = right.orderBy(gain.desc(), "step").select("step", "before").first()
+    return (best["step"] + best["before"]) // 2 if best else 0
 
 
 def filtered(pages: DataFrame, rules=RULES) -> DataFrame:
