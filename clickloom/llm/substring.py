@@ -180,35 +180,39 @@ def _without(found: Column, cuts: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts)), gap))
 
 
-def removed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space) for every row.
+#: Columns the join adds; no table has these names.
+_ID, _CUTS, _CUT = "_clickloom_id", "_clickloom_cuts", "_clickloom_cut"
 
-    A word goes if a window of 20 consecutive words over it also starts earlier:
-    in a document of smaller doc_id, or further up in the same one.  Windows are
-    those of the input.  Null and short texts lose nothing; an empty table stays empty.
-    Columns of ``docs`` with those three names are replaced.
-    """
+
+def _cut_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a struct of n_words, n_removed and kept."""
     stretches = small(repeated_stretches(docs)).select(
-        F.col("doc_id").alias("_cut_id"), F.col("stretches").alias("cuts")
+        F.col("doc_id").alias(_ID), F.col("stretches").alias(_CUTS)
     )
-    rows = docs.drop("n_words", "n_removed", "kept", "_cut_id", "cuts").join(
-        stretches, F.col("doc_id").cast("bigint") == F.col("_cut_id"), "left"
-    )
-    size = F.aggregate("cuts", F.lit(0).cast("bigint"), lambda n, c: n + c["b"] - c["a"])
-    text = let(
+    cuts = F.col(_CUTS)
+    gone = F.aggregate(cuts, F.lit(0).cast("bigint"), lambda n, c: n + c["b"] - c["a"])
+    cut = let(
         words(F.col("text")),
         lambda w: F.struct(
             F.size(w).cast("bigint").alias("n_words"),
-            F.array_join(F.when(F.col("cuts").isNull(), w).otherwise(_without(w, F.col("cuts"))), " ").alias("kept"),
+            F.coalesce(gone, F.lit(0).cast("bigint")).alias("n_removed"),
+            F.array_join(F.when(cuts.isNull(), w).otherwise(_without(w, cuts)), " ").alias("kept"),
         ),
     )
-    return (
-        rows.withColumn("_words", text)
-        .withColumn("n_words", F.col("_words.n_words"))
-        .withColumn("n_removed", F.coalesce(size, F.lit(0).cast("bigint")))
-        .withColumn("kept", F.col("_words.kept"))
-        .drop("_words", "_cut_id", "cuts")
-    )
+    joined = docs.join(stretches, docs["doc_id"].cast("bigint") == stretches[_ID], "left")
+    return joined.withColumn(_CUT, cut).drop(_ID, _CUTS)
+
+
+def removed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space) for every row.
+
+    A word goes if a window of 20 consecutive words over it also starts earlier:
+    in a document of smaller doc_id, or further up in the same one.  Windows are
+    those of the input.  Null and short texts lose nothing; an empty table stays empty.
+    Columns of ``docs`` with those three names are replaced.
+    """
+    names = ("n_words", "n_removed", "kept")
+    return _cut_rows(docs.drop(*names)).withColumns({n: F.col(f"{_CUT}.{n}") for n in names}).drop(_CUT)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -216,15 +220,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, if there, is the new text's length.
     """
-    cut = removed(docs)
-    changed = F.col("n_removed") > 0
-    return cut.select(
+    changed, kept = F.col(f"{_CUT}.n_removed") > 0, F.col(f"{_CUT}.kept")
+    new = {"text": kept, "n_chars": F.length(kept).cast("bigint")}
+    return _cut_rows(docs).select(
         *(
-            F.when(changed, F.col("kept")).otherwise(F.col("text")).alias(c)
-            if c == "text"
-            else F.when(changed, F.length("kept").cast("bigint")).otherwise(F.col(c)).alias(c)
-            if c == "n_chars"
-            else F.col(f"`{c}`")
+            F.when(changed, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(f"`{c}`")
             for c in docs.columns
         )
     )
