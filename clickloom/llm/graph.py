@@ -30,26 +30,41 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
+#: A graph of up to this many edges (16 bytes each) is finished by one task; larger ones by rounds of stars.
+ONE_TASK = 1_000_000
+
+
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fewer edges that connect the same nodes, batch by batch."""
+    """One edge for each node of the partition, connecting what its edges connect."""
+    node, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        node, root = forest(batch.column("u").to_numpy(), batch.column("v").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["u", "v"])
+        u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
+        node, root = forest(np.concatenate([node, u]), np.concatenate([root, v]))
+    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["u", "v"])
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of ``edges`` (u, v) with the smallest node it is connected to.
 
-    Each round halves what is left of long paths; a round's edges are written
-    to the shared folder.  No edges give no rows; null ends are left out.
+    Partitions first drop edges they can do without.  Then each round of stars halves what is left
+    of long paths; a round's edges are written to the shared folder.  No edges give no rows; null ends are left out.
     """
     edges = (
         edges.where("u is not null and v is not null and u != v")
         .select(F.greatest("u", "v").cast("bigint").alias("u"), F.least("u", "v").cast("bigint").alias("v"))
         .mapInArrow(_contracted, "u long, v long")
-        .distinct()
     )
     edges = written(edges, "edges")
+    if edges.count() <= ONE_TASK:
+        edges = written(edges.coalesce(1).mapInArrow(_contracted, "u long, v long"), "edges")
+    else:
+        edges = _stars(edges)
+    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """Edges from every node to the smallest it reaches."""
     seen = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
@@ -74,5 +89,4 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = written(small, "edges")
-    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    return edges

@@ -100,7 +100,9 @@ def test_url_model_tells_kinds_apart(spark):
     assert url_filters.filtered(df.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(graph, "ONE_TASK", one_task)
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(0, 200)] + [(rng.randint(300, 500), rng.randint(300, 500)) for _ in range(120)]
     edges += [(7, 7), (None, 3)]
