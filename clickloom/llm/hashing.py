@@ -93,13 +93,38 @@ def _same(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return same
 
 
+def _flags(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def spread(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of a place, for rows that need no company."""
+    with np.errstate(over="ignore"):
+        return mixed(ids.view(np.uint64) * np.uint64(BASES[1]) + at.astype(np.uint64)).view(np.int64)
+
+
+def same_keys(keys: list[np.ndarray], ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each row shares its keys with another row, and whether it is at another place than the first that has them."""
+    order = np.lexsort((at, ids, *keys))
+    new = np.ones(len(order), dtype=bool)
+    if len(order):
+        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    heads = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    first = order[heads[group]] if len(order) else order
+    shared, behind = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+    shared[order] = np.diff(np.append(heads, len(order)))[group] > 1 if len(order) else False
+    behind[order] = (ids[order] != ids[first]) | (at[order] != at[first])
+    return shared, behind
+
+
 def _after(held: pa.RecordBatch | None, batch: pa.RecordBatch) -> pa.RecordBatch:
     """``batch`` behind the row held from before."""
     return batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
 
 
 def repeats(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by ``keys``, those whose key another row has.
+    """Of rows sorted by ``keys``, those whose key another row has, and those already ``settled``.
 
     One row is carried from batch to batch, so a key of any number of rows takes no memory.
     """
@@ -110,7 +135,7 @@ def repeats(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.R
             continue
         batch = _after(held, batch)
         same = _same(batch, keys)
-        take = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        take = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | _flags(batch, "settled")
         last = bool(take[-1])
         if held is not None and out:
             take[0] = False
@@ -121,7 +146,7 @@ def repeats(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.R
 
 
 def later(batches: Iterable[pa.RecordBatch], keys: list[str], place: list[str]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by ``keys`` and ``place``, those of a key at another place than its first."""
+    """Of rows sorted by ``keys`` and ``place``, those of a key at another place than its first, and those ``settled``."""
     held = None
     first_place = True  # whether the row held is at its key's first place
     for batch in batches:
@@ -132,11 +157,11 @@ def later(batches: Iterable[pa.RecordBatch], keys: list[str], place: list[str])
         run = np.cumsum(np.concatenate([[True], ~_same(batch, keys + place)]))
         group = np.cumsum(new_key) - 1
         first = run == run[np.flatnonzero(new_key)][group]
-        if held is not None:
-            first |= (group == 0) & (np.arange(len(first)) == 0)  # given out before, if at all
-            if not first_place:
-                first[1:] &= group[1:] > 0
+        if held is not None and not first_place:
+            first[1:] &= group[1:] > 0
         last = bool(first[-1]) if batch.num_rows > 1 or held is None else first_place
-        if not first.all():
-            yield batch.filter(pa.array(~first))
+        take = ~first | _flags(batch, "settled")
+        take[0] &= held is None
+        if take.any():
+            yield batch.filter(pa.array(take))
         held, first_place = batch.slice(batch.num_rows - 1), last

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import let, small, words, written
-from clickloom.llm.hashing import Windows, flat, later, portions, positions, repeats
+from clickloom.llm.hashing import Windows, flat, later, portions, positions, repeats, same_keys, spread
 
 WINDOW = 20
 PERIOD = 13
@@ -40,15 +40,13 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, at = positions(room)
         keep = covered[at % PERIOD]
         row, at = row[keep], at[keep]
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(Windows(values).at(begins[row] + at, ANCHOR).view(np.int64)),
-                pa.array(ids[row], pa.int64()),
-                pa.array(at.astype(np.int32)),
-            ],
-            ["anchor", "doc_id", "at"],
-        )
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
+        anchor = Windows(values).at(begins[row] + at, ANCHOR).view(np.int64)
+        # of anchors that repeat within the batch only the first stays with its hash
+        settled, behind = same_keys([anchor], ids, at)
+        anchor = np.where(behind, spread(ids, at), anchor)
+        columns = (anchor, ids, at.astype(np.int32), settled)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "doc_id", "at", "settled"])
 
 
 def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,17 +97,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high = np.minimum(high, sizes[row] - WINDOW + 1)
         which, nth = positions(np.maximum(high - low, 0))
         owner, at = row[which], low[which] + nth
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[owner]
         where = begins[owner] + at
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(Windows(values, 0).at(where, WINDOW).view(np.int64)),
-                pa.array(Windows(values, 1).at(where, WINDOW).view(np.int64)),
-                pa.array(ids[owner], pa.int64()),
-                pa.array(at.astype(np.int32)),
-            ],
-            ["h1", "h2", "doc_id", "at"],
-        )
+        h1, h2 = (Windows(values, k).at(where, WINDOW).view(np.int64) for k in (0, 1))
+        # what starts earlier within the batch is settled and need not meet its equals
+        _, settled = same_keys([h2, h1], ids, at)
+        h1 = np.where(settled, spread(ids, at), h1)
+        columns = (h1, h2, ids, at.astype(np.int32), settled)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h1", "h2", "doc_id", "at", "settled"])
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +139,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         "doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
     )
     marks = (
-        hashed.mapInArrow(_anchors, "anchor long, doc_id long, at int")
+        hashed.mapInArrow(_anchors, "anchor long, doc_id long, at int, settled boolean")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(_repeated_anchors, "doc_id long, at int")
@@ -154,7 +149,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     candidates = written(marks.mapInArrow(_candidates, _STRETCHES), "candidates")
     starts = (
         hashed.join(small(candidates), "doc_id")
-        .mapInArrow(_windows, "h1 long, h2 long, doc_id long, at int")
+        .mapInArrow(_windows, "h1 long, h2 long, doc_id long, at int, settled boolean")
         .repartition("h1", "h2")
         .sortWithinPartitions("h1", "h2", "doc_id", "at")
         .mapInArrow(_later, "doc_id long, at int")

@@ -122,23 +122,26 @@ def test_components(spark, monkeypatch, one_task):
 
 def test_sorted_scans_over_any_batches():
     rng = random.Random(4)
-    for _ in range(400):
+    for trial in range(400):
+        chance = trial % 2 * 0.2
         rows = sorted((k, rng.randint(0, 2)) for k in rng.choices(range(8), k=rng.randint(0, 20)))
         cuts = sorted(rng.choices(range(len(rows) + 1), k=4))
+        flags = [rng.random() < chance for _ in rows]
         parts = [range(a, b) for a, b in zip([0, *cuts], [*cuts, len(rows)])]
         batches = [
             pa.record_batch({
                 "k": pa.array([rows[i][0] for i in p], pa.int64()),
                 "at": pa.array([rows[i][1] for i in p], pa.int64()),
                 "i": pa.array(list(p), pa.int64()),
+                "settled": pa.array([flags[i] for i in p], pa.bool_()),
             })
             for p in parts
         ]
         keys = [k for k, _ in rows]
         got = [i for b in hashing.repeats(batches, ["k"]) for i in b.column("i").to_pylist()]
-        assert got == [i for i, k in enumerate(keys) if keys.count(k) > 1]
+        assert got == [i for i, k in enumerate(keys) if keys.count(k) > 1 or flags[i]]
         got = [i for b in hashing.later(batches, ["k"], ["at"]) for i in b.column("i").to_pylist()]
-        assert got == [i for i, (k, at) in enumerate(rows) if rows[keys.index(k)][1] != at]
+        assert got == [i for i, (k, at) in enumerate(rows) if rows[keys.index(k)][1] != at or flags[i]]
 
 
 def test_window_hashes_depend_on_content_alone():
