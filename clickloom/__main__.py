@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     forecast = commands.add_parser("forecast", parents=[raw], help="monthly metrics by device")
     forecast.add_argument("--ip-file", required=True)
     forecast.add_argument("--country", default="AU")
+    forecast.add_argument("--ip-column", default="IpAddress")
     forecast.add_argument("--default-ip", help="address of clicks that have none")
 
     for name, text in (
@@ -45,13 +46,23 @@ def _parser() -> argparse.ArgumentParser:
         report.add_argument("--json", action="store_true")
         report.add_argument("--masthead", help="read and label one masthead only")
         report.add_argument("--week", type=int)
+        report.add_argument("--year", type=int)
         report.add_argument("--output", required=True)
+        if name == "content":
+            report.add_argument(
+                "--session-key", default="sessionStart", choices=["sessionStart", "sessionId"],
+                help="what tells visits apart; sessionId counts them exactly",
+            )
+    for command in commands.choices.values():
+        command.add_argument("--shuffle-partitions", type=int, help="tasks of each shuffle")
     return parser
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"clickloom {args.job}").getOrCreate()
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.job in ("sessionise", "forecast"):
         paths = click_paths(args.root, args.month, args.masthead)
         if args.job == "sessionise":
@@ -62,19 +73,20 @@ def main(argv: list[str] | None = None) -> None:
         else:
             jobs.forecast_report(
                 spark, paths, args.ip_file, "+".join(args.masthead), args.output,
-                args.country, args.default_ip,
+                args.country, args.default_ip, args.ip_column,
             )
         return
-    clicks = jobs.read_sessionised(spark, args.input, args.json, args.masthead, args.week)
+    clicks = jobs.read_sessionised(spark, args.input, args.json, args.masthead, args.week, args.year)
+    output = jobs.report_folder(args.output, args.week, args.year)
     label = args.masthead or "all"
     if args.job == "brand-path":
-        jobs.brand_path_report(clicks, args.output)
+        jobs.brand_path_report(clicks, output)
     elif args.job == "content":
-        jobs.content_reports(clicks, label, args.output)
+        jobs.content_reports(clicks, label, output, args.session_key)
     elif args.job == "visitors":
-        jobs.visitor_reports(clicks, label, args.output)
+        jobs.visitor_reports(clicks, label, output)
     else:
-        jobs.segment_reports(clicks, args.output)
+        jobs.segment_reports(clicks, output)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.addresses import ip_to_long
+from clickloom.functions.addresses import ip_to_long, is_address
 
 BUCKET = 65_536
 LOCATION = ("Country", "Region", "City", "ipBlock", "ipBlockIndex")
@@ -49,9 +49,9 @@ def locate_addresses(rows: DataFrame, ranges: DataFrame) -> DataFrame:
 def with_address(
     clicks: DataFrame, ip_col: str = "IpAddress", default_ip: str | None = None
 ) -> DataFrame:
-    """Add ``address``, the number of the click's IP or else of ``default_ip``."""
+    """Add ``address``, the number of the click's IP or else of ``default_ip``; null if that is no address."""
     ip = F.coalesce(ip_col, F.lit(default_ip or ""))
-    return clicks.withColumn("address", ip_to_long(ip))
+    return clicks.withColumn("address", F.when(is_address(ip), ip_to_long(ip)))
 
 
 def add_location(

@@ -17,7 +17,7 @@ SLOT_MS = 600_000
 
 
 def slot_of(ms: Column, slot_ms: int = SLOT_MS) -> Column:
-    return F.floor(ms / F.lit(slot_ms)).cast("bigint")
+    return F.call_function("div", ms - F.pmod(ms, F.lit(slot_ms).cast("bigint")), F.lit(slot_ms).cast("bigint"))
 
 
 def with_next_timestamp(

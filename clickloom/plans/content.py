@@ -88,13 +88,6 @@ def top_articles_by_dwell(sessionised: DataFrame, masthead: str, k: int = 10, **
         .limit(k)
     )
     pages = content_views(sessionised, ARTICLE, tz=options.get("tz", SYDNEY))
-    # ``best`` has at most k rows.
-    urls = (
-        pages.join(F.broadcast(best.select("day", "title")), ["day", "title"], "left_semi")
-        .select("day", "title", "url")
-        .distinct()
-    )
-    joined = best.join(urls, ["day", "title"], "left").withColumn(
-        "url", F.coalesce("url", F.lit(""))
-    )
+    # ``best`` has at most k rows, each with at least one page of that day.
+    joined = pages.join(F.broadcast(best), ["day", "title"]).select(*ARTICLE, "dwellMs").distinct()
     return labelled(joined, "Duration_Article", masthead, *ARTICLE, F.col("dwellMs").alias("value"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.referers import RULES, referer_class
@@ -14,13 +15,28 @@ from clickloom.operators.reload import INDEX_CATEGORIES, reload_flags
 from clickloom.operators.sessions import sessionise
 
 
-def in_week(clicks: DataFrame, week: int, year: int | None = None, tz: str = SYDNEY) -> DataFrame:
-    """Clicks of one ISO week in local time, of any year unless ``year`` is given."""
+#: Milliseconds of a week, and of the margin that covers any time zone.
+WEEK_MS, MARGIN_MS = 7 * 86_400_000, 2 * 86_400_000
+
+
+def is_in_week(week: int, year: int | None = None, tz: str = SYDNEY) -> Column:
+    """Whether ``timestamp`` is in the ISO week in local time, of any year unless ``year`` is given.
+
+    With the year, a plain range around the week stands in front, by which files can be skipped.
+    """
     at = F.col("timestamp")
     wanted = week_of_year(at, tz) == week
-    if year is not None:
-        wanted = wanted & (iso_year(at, tz) == year)
-    return clicks.where(wanted)
+    if year is None:
+        return wanted
+    monday = datetime.fromisocalendar(year, week, 1).replace(tzinfo=timezone.utc)
+    begin = int(monday.timestamp()) * 1000
+    near = at.between(begin - MARGIN_MS, begin + WEEK_MS + MARGIN_MS)
+    return near & wanted & (iso_year(at, tz) == year)
+
+
+def in_week(clicks: DataFrame, week: int, year: int | None = None, tz: str = SYDNEY) -> DataFrame:
+    """Clicks of one ISO week in local time, of any year unless ``year`` is given."""
+    return clicks.where(is_in_week(week, year, tz))
 
 
 def combine(*clicks: DataFrame) -> DataFrame:

@@ -15,26 +15,8 @@ from clickloom.sources.metrics import write_metrics
 from clickloom.staging import stage
 
 
-SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
-
-
-def size_shuffles(rows: DataFrame) -> None:
-    """Give shuffles enough partitions for all of ``rows``; adaptive execution merges small ones.
-
-    An explicit higher setting is kept.
-    """
-    spark = rows.sparkSession
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = -(-size // SHUFFLE_TASK_BYTES)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-
-
-def staged_clicks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Parsed click files as a table: text is parsed once, however often it is read."""
-    parsed = stage(raw_clicks.read_clicks(spark, paths), "parsed")
-    size_shuffles(parsed)
-    return parsed
+#: What the forecast reads of a click.
+FORECAST_COLUMNS = ("trackingId", "timestamp", "site", "device")
 
 
 def sessionise_files(
@@ -51,14 +33,20 @@ def sessionise_files(
 ) -> None:
     """Raw click files to one week of sessionised clicks.
 
-    Parsed lines are staged: the reload flags, the sessions and the clicks
-    themselves each read them, the first two only a few columns.
+    Lines are parsed once and staged, as the reload flags, the sessions and the
+    clicks themselves each read them: clicks of the week without their text, and
+    lines that are no click as text, if wanted.
     """
-    parsed = staged_clicks(spark, paths)
+    parsed = raw_clicks.read_clicks(spark, paths)
+    bad = F.col("reason").isNotNull()
+    wanted = etl.is_in_week(week, year)
+    parsed = parsed.where(wanted if quarantine is None else bad | wanted)
+    parsed = stage(parsed.withColumn("value", F.when(bad, F.col("value"))), "parsed")
     if quarantine is not None:
-        raw_clicks.quarantined(parsed).write.option("compression", "gzip").json(quarantine)
-    weekly = etl.in_week(raw_clicks.parsed_clicks(parsed), week, year)
-    done = etl.sessionised_clicks(weekly, across_sites=across_sites, salt=salt)
+        lines = raw_clicks.quarantined(parsed).write.mode("overwrite")
+        lines.option("compression", "gzip").json(quarantine)
+    clicks = raw_clicks.parsed_clicks(parsed)
+    done = etl.sessionised_clicks(clicks, across_sites=across_sites, salt=salt)
     if as_json:
         sessionised.write_json(done, output, files)
     else:
@@ -71,23 +59,29 @@ def read_sessionised(
     as_json: bool = False,
     masthead: str | None = None,
     week: int | None = None,
+    year: int | None = None,
 ) -> DataFrame:
-    """Sessionised clicks; JSON lines hold one masthead and week per folder."""
+    """Sessionised clicks of a masthead, week and year, or of all, in either format."""
     if as_json:
         # Every report reads the clicks at least once, text would be parsed each time.
-        clicks = stage(sessionised.read_json(spark, path), "sessionised")
-    else:
-        clicks = sessionised.read_parquet(spark, path, masthead, week)
-    size_shuffles(clicks)
-    return clicks
+        return stage(sessionised.read_json(spark, path, masthead, week, year), "sessionised")
+    return sessionised.read_parquet(spark, path, masthead, week, year)
+
+
+def report_folder(output: str, week: int | None = None, year: int | None = None) -> str:
+    """Where the reports of a week stand, beside those of other weeks."""
+    parts = [f"{name}={value}" for name, value in (("year", year), ("week", week)) if value is not None]
+    return "/".join([output.rstrip("/"), *parts])
 
 
 def brand_path_report(clicks: DataFrame, output: str) -> None:
     write_metrics(brand_paths(clicks), f"{output}/brand_path")
 
 
-def content_reports(clicks: DataFrame, masthead: str, output: str) -> None:
-    reports: dict[str, Callable[[DataFrame, str], DataFrame]] = {
+def content_reports(
+    clicks: DataFrame, masthead: str, output: str, session_key: str = "sessionStart"
+) -> None:
+    reports: dict[str, Callable[..., DataFrame]] = {
         "pageviews": content.section_views,
         "article_pageviews": content.top_articles_by_views,
         "visits": content.section_visits,
@@ -96,7 +90,8 @@ def content_reports(clicks: DataFrame, masthead: str, output: str) -> None:
         "article_duration": content.top_articles_by_dwell,
     }
     for name, report in reports.items():
-        write_metrics(report(clicks, masthead), f"{output}/{masthead}_{name}")
+        keyed = report(clicks, masthead, session_key=session_key)
+        write_metrics(keyed, f"{output}/{masthead}_{name}")
 
 
 def visitor_reports(clicks: DataFrame, masthead: str, output: str) -> None:
@@ -110,8 +105,9 @@ def segment_reports(clicks: DataFrame, output: str) -> None:
     found = segments.visitor_segments(
         segments.visitor_features(heads), segments.cookie_clearers(clicks)
     )
-    found = stage(found, "segments")
-    found.write.parquet(f"{output}/visitor_segments")
+    path = f"{output}/visitor_segments"
+    found.write.mode("overwrite").parquet(path)
+    found = clicks.sparkSession.read.parquet(path)
     write_metrics(segments.segment_trend(heads, found), f"{output}/repeat_trend", "gzip")
 
 
@@ -123,14 +119,17 @@ def forecast_report(
     output: str,
     country: str = "AU",
     default_ip: str | None = None,
+    ip_col: str = "IpAddress",
 ) -> None:
-    parsed = staged_clicks(spark, paths)
+    clicks = raw_clicks.parsed_clicks(raw_clicks.read_clicks(spark, paths))
+    clicks = stage(clicks.select(*FORECAST_COLUMNS, ip_col), "forecast")
     rows = forecast.monthly_metrics(
-        forecast.device_sessions(raw_clicks.parsed_clicks(parsed)),
+        forecast.device_sessions(clicks, ip_col),
         ip_ranges.read_ranges(spark, ip_file),
         masthead,
         country,
-        default_ip=default_ip,
+        ip_col,
+        default_ip,
     )
     write_metrics(
         rows.withColumn("month_start", F.col("month_start").cast("string")),

@@ -85,6 +85,7 @@ def cookie_clearers(
     return by_member.unionByName(by_machine).distinct()
 
 
+# The segments' names and thresholds.
 def segment_rules() -> list[tuple[Column, str]]:
     """The segments in the order they are tried."""
     visits, pages_1 = F.col("sessions"), F.col("singleSessions")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.addresses import ip_block, ip_to_long
+from clickloom.functions.addresses import ip_block, ip_to_long, is_address
 
 COLUMNS = "start string, end string, country string, region string, city string"
 
@@ -42,13 +42,27 @@ def with_line_offsets(lines: DataFrame, newline_bytes: int = 1) -> DataFrame:
     )
 
 
-def parse_ranges(lines: DataFrame) -> DataFrame:
-    """``value, offset`` lines to ranges; lines with a colon (IPv6) are left out."""
+def _split_lines(lines: DataFrame) -> tuple[DataFrame, Column]:
+    """Lines without a colon (IPv6 is left out) as ``_row``, and whether it is a range in order."""
+    row = F.col("_row")
+    both = is_address(row["start"]) & is_address(row["end"])
+    good = both & (ip_to_long(row["start"]) <= ip_to_long(row["end"]))
     parts = F.from_csv("value", F.lit(COLUMNS))
+    return lines.where(~F.col("value").contains(":")).withColumn("_row", parts), good
+
+
+def quarantined_ranges(lines: DataFrame) -> DataFrame:
+    """Lines that are no range: an end is not an address, or the ends are out of order."""
+    split, good = _split_lines(lines)
+    return split.where(~good).drop("_row")
+
+
+def parse_ranges(lines: DataFrame) -> DataFrame:
+    """``value, offset`` lines to ranges; see ``quarantined_ranges`` for those left out."""
     row = F.col("_row")
+    split, good = _split_lines(lines)
     return (
-        lines.where(~F.col("value").contains(":"))
-        .withColumn("_row", parts)
+        split.where(good)
         .select(
             ip_to_long(row["start"]).alias("lo"),
             ip_to_long(row["end"]).alias("hi"),

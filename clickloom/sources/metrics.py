@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def write_metrics(
     rows: DataFrame, path: str, compression: str | None = None, files: int | None = 1
 ) -> None:
-    """CSV with a header, by default in one file.
+    """CSV with a header, by default in one file, in place of what ``path`` held.
 
     Meant for reports: rows are gathered after the last aggregate, so only
     writing them is a single task.  Arrays are written joined by ``>``.
@@ -22,7 +22,7 @@ def write_metrics(
     )
     if files is not None:
         flat = flat.repartition(files)
-    writer = flat.write.option("header", True)
+    writer = flat.write.mode("overwrite").option("header", True)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)

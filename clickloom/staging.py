@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a fresh local one only in local mode."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    """The folder that the session names for data all executors share."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="clickloom-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -175,11 +175,11 @@ def _top_articles(metric: str, score: str) -> str:
     QUALIFY row_number() OVER (PARTITION BY day ORDER BY {score} DESC, title, url) <= 10"""
 
 
-def _dwell(item: str) -> str:
+def _dwell(item: str, session: str = '"sessionStart"') -> str:
     return f"""
 dwelt AS (
   SELECT day, {item} AS item, lead(timestamp) OVER
-    (PARTITION BY day, "sessionStart" ORDER BY timestamp, {item}) - timestamp AS dwell
+    (PARTITION BY day, {session} ORDER BY timestamp, {item}) - timestamp AS dwell
   FROM sessionised),
 dwell AS (
   SELECT day, item, CAST(sum(dwell) AS BIGINT) AS dwell FROM dwelt
@@ -328,6 +328,14 @@ ORACLES: dict[str, str] = {
       {_daily("PageViews", 'day, "assetCategory"', "count(*)")}""",
     "visits_by_category": f"""WITH {_SESSIONISED}
       {_daily("Visits", 'day, "assetCategory"', 'count(DISTINCT "sessionStart")')}""",
+    "visits_by_category_exact": f"""WITH {_SESSIONISED}
+      {_daily("Visits", 'day, "assetCategory"', 'count(DISTINCT "sessionId")')}""",
+    "visits_by_article_exact": f"""WITH {_SESSIONISED}
+      SELECT day, replace(title, ' ', '#') AS title, url, count(DISTINCT "sessionId") AS value
+      FROM sessionised GROUP BY ALL""",
+    "dwell_by_category_exact": f"""WITH {_SESSIONISED}, {_dwell('"assetCategory"', '"sessionId"')}
+      SELECT 'Day' AS grain, 'Duration' AS metric, 'all' AS masthead, day,
+        item AS "assetCategory", dwell AS value FROM dwell""",
     "pageviews_by_article": f"""WITH {_ARTICLES}
       SELECT day, title, url, CAST(views AS BIGINT) AS value FROM articles""",
     "visits_by_article": f"""WITH {_ARTICLES}
@@ -391,6 +399,11 @@ ORACLES: dict[str, str] = {
     "sessionised_parquet": f"""WITH {_ETL}
       SELECT {_SESSION_COLUMNS}, masthead, week FROM sessionised
       WHERE masthead = 'smh' AND week = 2""",
+    "json_by_masthead_week": f"""WITH {_ETL}
+      SELECT {_SESSION_COLUMNS}, masthead FROM sessionised WHERE masthead = 'smh' AND week = 2""",
+    "repeated_weeks": f"""WITH {_ETL}
+      SELECT {_SESSION_COLUMNS}, masthead, 2024 AS year, week FROM sessionised
+      WHERE week IN (1, 2)""",
     "raw_to_visitor_metrics": f"""WITH {_RAW},
       week_clicks AS (SELECT * FROM raw_clicks WHERE week = 2),
       {_INDEX.format(source="week_clicks")}, {_sessions("kept")},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from clickloom.operators.reload import (
 from clickloom.operators.sessions import session_heads, sessionise
 from clickloom.plans import content, etl, forecast, segments, visitors
 from clickloom.sources import ip_ranges, raw_clicks, sessionised
-from clickloom.staging import new_path, stage
+from clickloom.staging import CHECKPOINT_DIR, new_path, stage
 from harness import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,7 +146,14 @@ def _monthly(metric: str) -> Query:
     return query
 
 
+def _name_shared_folder(spark: SparkSession) -> None:
+    """In the sandbox no cluster names a shared folder; one machine may use its own."""
+    if not (spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
+
+
 def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _name_shared_folder(spark)
     path = new_path(spark, "sessionised-json")
     sessionised.write_json(etl.sessionised_clicks(adapter.clicks(spark, sf_dir)), path)
     return sessionised.read_json(spark, path).select(
@@ -153,7 +161,26 @@ def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _json_by_masthead_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One masthead and week out of a JSON folder that holds them all."""
+    _name_shared_folder(spark)
+    path = new_path(spark, "sessionised-json")
+    sessionised.write_json(etl.sessionised_clicks(adapter.clicks(spark, sf_dir)), path)
+    return sessionised.read_json(spark, path, "smh", 2, 2024).select(*SESSION_COLUMNS, "masthead")
+
+
+def _repeated_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks 1 and 2 written in turn, week 2 once more: each stands there once."""
+    _name_shared_folder(spark)
+    path = new_path(spark, "sessionised-weeks")
+    done = etl.sessionised_clicks(adapter.clicks(spark, sf_dir))
+    for week in (1, 2, 2):
+        sessionised.write_parquet(etl.in_week(done, week), path)
+    return sessionised.read_parquet(spark, path).select(*SESSION_COLUMNS, "masthead", "year", "week")
+
+
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _name_shared_folder(spark)
     path = new_path(spark, "sessionised-parquet")
     sessionised.write_parquet(etl.sessionised_clicks(adapter.clicks(spark, sf_dir)), path)
     return sessionised.read_parquet(spark, path, masthead="smh", week=2).select(
@@ -163,6 +190,7 @@ def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_to_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way: damaged lines, week, reloads, sessions, weekly and daily metrics."""
+    _name_shared_folder(spark)
     parsed = stage(_parsed(spark, sf_dir), "parsed")
     weekly = etl.in_week(raw_clicks.parsed_clicks(parsed), week=2)
     return visitors.visitor_metrics(session_heads(etl.sessionised_clicks(weekly)), MASTHEAD)
@@ -199,6 +227,15 @@ QUERIES: dict[str, Query] = {
     "visitor_metrics_all": _metric(*visitors.LABELS),
     "pageviews_by_category": _sessions(lambda rows: content.section_views(rows, MASTHEAD)),
     "visits_by_category": _sessions(lambda rows: content.section_visits(rows, MASTHEAD)),
+    "visits_by_category_exact": _sessions(
+        lambda rows: content.section_visits(rows, MASTHEAD, session_key="sessionId")
+    ),
+    "visits_by_article_exact": _sessions(
+        lambda rows: content.article_visits(rows, session_key="sessionId")
+    ),
+    "dwell_by_category_exact": _sessions(
+        lambda rows: content.section_dwell(rows, MASTHEAD, session_key="sessionId")
+    ),
     "pageviews_by_article": _sessions(content.article_views),
     "visits_by_article": _sessions(content.article_visits),
     "top10_articles_by_views": _sessions(
@@ -232,6 +269,8 @@ QUERIES: dict[str, Query] = {
     "monthly_pageviews": _monthly("Month_pageviews"),
     "sessionised_roundtrip": _json_roundtrip,
     "sessionised_parquet": _parquet_roundtrip,
+    "json_by_masthead_week": _json_by_masthead_week,
+    "repeated_weeks": _repeated_weeks,
     "raw_to_visitor_metrics": _raw_to_metrics,
     "visitor_features": _heads(segments.visitor_features),
     "cookie_clearers": _clicks(segments.cookie_clearers),

@@ -112,3 +112,24 @@ def test_empty_places_are_kept(spark):
     lines = spark.createDataFrame([(LINES[3], 7)], "value string, offset bigint")
     row = parse_ranges(lines).first()
     assert (row.lo, row.hi, row.Country, row.ipBlockIndex) == (16777728, 16777728, "CN", 7)
+
+
+def test_bad_range_lines_move_nobody(spark):
+    from clickloom.sources.ip_ranges import parse_ranges, quarantined_ranges
+
+    lines = spark.createDataFrame(
+        [
+            ('"1.0.0.0","1.0.0.255","AU","NSW","Sydney"', 0),
+            ('"oops","9.0.0.0","BAD","",""', 50),
+            ('"5.0.0.9","5.0.0.1","BAD","",""', 90),
+            ('"0.0.0.0","0.0.0.9","LOW","",""', 130),
+        ],
+        "value string, offset long",
+    )
+    ranges = parse_ranges(lines)
+    clicks = spark.createDataFrame(
+        [("1.0.0.7",), ("2.0.0.1",), ("junk",), (None,), ("0.0.0.1",)], "IpAddress string"
+    )
+    got = {r.IpAddress: r.Country for r in add_location(clicks, ranges).collect()}
+    assert got == {"1.0.0.7": "AU", "2.0.0.1": None, "junk": None, None: None, "0.0.0.1": "LOW"}
+    assert rows(quarantined_ranges(lines), "offset") == [(50,), (90,)]

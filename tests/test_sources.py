@@ -249,12 +249,44 @@ def test_forecast_job(spark, click_files, tmp_path):
     )
 
 
-def test_shuffles_grow_with_the_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        jobs.size_shuffles(spark.range(10))
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        jobs.size_shuffles(spark.range(2**30))  # 8 GiB
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_both_formats_give_the_reports_of_one_masthead_and_week(spark, click_files, tmp_path):
+    reports = {}
+    for flag in ([], ["--json"]):
+        out = str(tmp_path / f"out{len(flag)}")
+        for week in ("45", "46", "45"):  # the second run of week 45 replaces the first
+            main(["sessionise", "--root", str(click_files), "--month", "11-2014", "--masthead", "smh",
+                  "theage", "drive", "--week", week, "--year", "2014", "--output", out, *flag])
+        for week in ("45", "46"):
+            for masthead in ("smh", "drive"):
+                main(["visitors", "--input", out, "--masthead", masthead, "--week", week, "--year", "2014",
+                      "--output", f"{out}-reports", *flag])
+                path = f"{out}-reports/year=2014/week={week}/{masthead}_visitors"
+                got = rows(read_csv(spark, path), "metric", "period", "value")
+                reports.setdefault((week, masthead), []).append(got)
+    assert all(one == two for one, two in reports.values())
+    assert reports["45", "smh"][0] != reports["45", "drive"][0] and reports["45", "smh"][0]
+    assert {period for _, period, _ in reports["46", "smh"][0]}.isdisjoint({"45"})
+
+
+def test_staging_needs_a_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
+def test_week_with_year_can_skip_files(spark, tmp_path):
+    from clickloom.plans.etl import in_week
+
+    spark.range(5).select((F.col("id") * 86_400_000 * 4 + 1_415_000_000_000).alias("timestamp")).write.parquet(
+        str(tmp_path / "t")
+    )
+    clicks = spark.read.parquet(str(tmp_path / "t"))
+    plan = in_week(clicks, 45, 2014)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(timestamp" in plan
+    assert rows(in_week(clicks, 45, 2014)) == rows(in_week(clicks, 45))
