@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from harness.compare import rows_of
+from harness.oracles import ORACLES
+from harness.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,7 +26,8 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -32,7 +35,7 @@ def test_entry(spark):
     assert df.columns == ["metric", "masthead", "period", "value"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     got = contract.queries()[name](spark, SF_DIR)
     want = db.execute(contract.oracle_sql()[name])
