@@ -254,8 +254,18 @@ def linked_components(docs: DataFrame) -> DataFrame:
     # one row of the matrix for each distinct set
     sets = rows.where("n > 0").groupBy("doc_id").agg(F.min(F.struct("n", "d1", "d2")).alias("s"))
     sets = sets.select("doc_id", "s.*")
-    same = sets.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = written(sets.join(same, ["n", "d1", "d2"]).select("doc_id", "n", "rep"), "members")
+    same = written(
+        sets.groupBy("n", "d1", "d2")
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+        .where("copies > 1"),
+        "same",
+    )
+    members = written(
+        sets.join(small(same), ["n", "d1", "d2"], "left").select(
+            "doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")
+        ),
+        "members",
+    )
     copies = members.where("doc_id != rep").select("doc_id")
     matrix = rows.where("n > 0").join(small(copies), "doc_id", "left_anti")
     few = matrix.select(

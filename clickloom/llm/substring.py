@@ -131,9 +131,14 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         ),
         "digests",
     )
-    first = digests.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
+    first = written(
+        digests.groupBy("n", "d1", "d2")
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+        .where("copies > 1"),
+        "copied",
+    )
     copies = written(
-        digests.join(first, ["n", "d1", "d2"]).where("doc_id != first").select("doc_id", "n").distinct(), "copies"
+        digests.join(small(first), ["n", "d1", "d2"]).where("doc_id != first").select("doc_id", "n").distinct(), "copies"
     )
     hashed = found.join(small(copies.select("doc_id")), "doc_id", "left_anti").select(
         "doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
