@@ -30,7 +30,9 @@ KEPT = 20_000
 MIN_ROWS = 3
 MIN_STANDING = 3.0
 FACTORS = 4
+#: Passes over the rows, and steps of a batch at least, so that few rows are fitted as well.
 EPOCHS = 12
+STEPS = 400
 BATCH = 256
 RATE = 0.1
 SHRINK = 2e-4
@@ -92,7 +94,8 @@ def fit(kept: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: int
     share = min(max(float(labels.mean()) if len(labels) else 0.0, 1e-3), 1 - 1e-3)
     model = Machine(kept, float(np.log(share / (1 - share))), np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), FACTORS)))
     past_w, past_v, past_b = np.full(len(kept), 1e-6), np.full((len(kept), FACTORS), 1e-6), 1e-6
-    for _ in range(EPOCHS):
+    batches = -(-len(rows) // BATCH)
+    for _ in range(max(EPOCHS, -(-STEPS // batches)) if batches else 0):
         order = rng.permutation(len(rows))
         for begin in range(0, len(order), BATCH):
             batch = order[begin : begin + BATCH]
