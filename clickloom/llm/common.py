@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 GAP = r"[\x20\x09-\x0D]+"
 
 
-
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``, unchanged; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
