@@ -41,6 +41,7 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("words can be encoded one by one only if no piece has a mark inside")
         self.byte_ids = byte_ids
+        self.endings = {p[k:] for p in self.ids for k in range(len(p))}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = min(self.scores.values(), default=0.0) - 10.0
         self.merges = merges
@@ -50,8 +51,8 @@ class Pieces:
         self._chunk = re.compile("\n|▁*[^▁\n]+|▁+" if "\n" not in inside else "▁*[^▁]+|▁+")
         self._words: dict[str, bytes] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """What merging characters, best score first and leftmost among equals, ends with."""
+    def merged(self, text: str, border: int = 0) -> list[str]:
+        """What merging characters, best score first and leftmost among equals, ends with; nothing if it crosses ``border``."""
         parts = list(text)
         while len(parts) > 1:
             best, at = None, -1
@@ -61,6 +62,9 @@ class Pieces:
                     best, at = score, k
             if best is None:
                 break
+            if at + 1 == border:
+                return []
+            border -= at + 1 < border
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
@@ -70,7 +74,7 @@ class Pieces:
         if found is None:
             if len(self._pairs) >= _CACHED_PAIRS:
                 self._pairs.clear()
-            found = self._pairs[key] = self.merged(before + piece) == [before, piece]
+            found = self._pairs[key] = self.merged(before + piece, len(before)) == [before, piece]
         return found
 
     def _starts(self, piece: str) -> bool:
@@ -83,8 +87,10 @@ class Pieces:
         """Fill in where the last piece of each prefix begins, from the prefixes already known."""
         for end in range(len(begin), len(word) + 1):
             chosen, best = -1, float("-inf")
-            for at in range(max(0, end - self.longest), end):
+            for at in range(end - 1, max(0, end - self.longest) - 1, -1):
                 piece = word[at:end]
+                if piece not in self.endings and at < end - 1:
+                    break  # nothing longer ends like this
                 if piece in self.scores:
                     own = self.scores[piece]
                 elif at == end - 1:
@@ -95,7 +101,7 @@ class Pieces:
                     if self._follows(word[begin[at] : at], piece) if at else self._starts(piece):
                         chosen, best = at, 0.0
                         break
-                elif score[at] + own > best:
+                elif score[at] + own >= best:
                     chosen, best = at, score[at] + own
             begin.append(chosen)
             score.append(best)
