@@ -254,9 +254,9 @@ def test_sentencepiece_on_odd_texts():
 def test_unigram_viterbi_against_every_segmentation():
     rng = random.Random(4)
     for _ in range(60):
-        made = {"".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(6)} | {"▁", "a", "▁a"}
+        made = {"".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(6)} | {"▁", "a", "b", "▁a"}
         entries = [(p, -rng.random() * 10) for p in sorted(made)]
-        vocabulary = pieces.Pieces(list(entries), list(range(256)), merges=False)
+        vocabulary = pieces.Pieces(list(entries), [], merges=False)
         scores = dict(entries)
 
         def best(word):
@@ -268,9 +268,8 @@ def test_unigram_viterbi_against_every_segmentation():
         texts_ = ["".join(rng.choices("ab ", k=rng.randint(1, 8))) for _ in range(10)]
         for text, coded in zip(texts_, vocabulary.encode_batch(texts_)):
             ids = np.frombuffer(coded, "<u4").tolist()
-            if "b" in scores:
-                total = sum(entries[i][1] for i in ids)
-                assert total == pytest.approx(sum(best(c) for c in vocabulary._chunk.findall("▁" + text.replace(" ", "▁"))))
+            total = sum(entries[i][1] for i in ids)
+            assert total == pytest.approx(sum(best(c) for c in vocabulary._chunk.findall("▁" + text.replace(" ", "▁"))))
 
 
 def made(rng, syllables, words):
