@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by inner product, with a permutation index.
 
-Pivots are a bounded sample of the vectors.  A vector is represented by the order of
+Pivots are a sample of the vectors, as many for any size of table, so that a query sees
+the same share of every table.  A vector is represented by the order of
 its nearest pivots, and posted in the inverted files of the first few.  A query reads
 the files of its own first pivots, ranks what it finds there by footrule distance
 between the two orders, and reranks the best share of each file by inner product.
@@ -22,8 +23,8 @@ from clickloom.llm.common import written
 from clickloom.llm.hashing import flat
 
 NEIGHBOURS = 20
-#: Pivots are sampled: enough that a file holds about a block, within these bounds.
-PIVOTS = (128, 8192)
+#: Pivots sampled. Files grow with the table and are split into blocks: more pivots would leave a query less of the index.
+PIVOTS = 128
 BLOCK = 8192
 #: Length of the orders compared, files a vector is posted in, files a query reads.
 PREFIX = 64
@@ -106,10 +107,8 @@ def nearest(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str
         .agg(F.min("id").alias("uid"), F.sort_array(F.collect_list("id")).alias("ids")),
         "entries",
     )
-    total = entries.count()
-    wanted = max(PIVOTS[0], min(PIVOTS[1], 1 << max(0, round(np.log2(max(1, total * POSTED / BLOCK))))))
-    sample = entries.orderBy(F.xxhash64("vector"), "uid").limit(wanted).select("vector").toArrow()
-    pivots = _matrix(sample.column("vector").combine_chunks()) if total else np.zeros((0, 0))
+    sample = entries.orderBy(F.xxhash64("vector"), "uid").limit(PIVOTS).select("vector").toArrow()
+    pivots = _matrix(sample.column("vector").combine_chunks()) if len(sample) else np.zeros((0, 0))
     shipped = spark.sparkContext.broadcast(pivots.astype(np.float32))
     length = min(PREFIX, len(pivots))
 

@@ -57,6 +57,17 @@ def test_neighbours_recall(spark):
     assert recall >= 0.9
 
 
+def test_neighbours_recall_with_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 64)  # a table of many blocks to a file, as large ones are
+    vectors = np.random.default_rng(5).normal(size=(5000, 92))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df["vec_id"] % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact(list(enumerate(vectors)))
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in got) >= 0.9 * 20 * 50 and len(got) == 50
+
+
 @pytest.mark.parametrize(
     "url,host,path,rule,verdict",
     [
