@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import fold
 from clickloom.llm.hashing import by_bytes
 
-#: Model bounds: documents to learn from for each language (expected), and languages.
+#: Model bounds: different texts to learn from for each language (expected), and languages.
 TRAIN_DOCS = 4000
 MAX_LANGUAGES = 512
 BUCKETS = 1 << 16
@@ -128,17 +128,24 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame) -> Model:
     """Learn from (text, lang); null text or lang teaches nothing.
 
-    About ``TRAIN_DOCS`` documents of each language are used, chosen by a hash of their text.
+    About ``TRAIN_DOCS`` different texts of each language are used, chosen by a hash, or all if it has no more;
+    copies of a text count once.
     """
     known = labelled.where("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), "text"
     )
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = (
+        known.groupBy("lang")
+        .agg(F.count_distinct(F.xxhash64("text")).alias("n"))
+        .orderBy(F.desc("n"), "lang")
+        .limit(MAX_LANGUAGES)
+        .collect()
+    )
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
     parts = 1_000_000
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], -(-parts * TRAIN_DOCS // r["n"]))))
-    chosen = known.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < share[F.col("lang")])
+    chosen = known.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < share[F.col("lang")]).distinct()
     rows = (
         chosen.mapInArrow(_counted, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")

@@ -297,6 +297,18 @@ def test_language_identification(spark, docs, no_docs):
     assert by_id(langid.identified(docs, langid.train(no_docs)), "lang_pred")[7] == ("und",)
 
 
+def test_language_model_counts_a_text_once(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(made(rng, ENGLISH, 40), "en") for _ in range(30)] + [(made(rng, GERMAN, 40), "de") for _ in range(30)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    hot = df.union(spark.range(3000).selectExpr(f"'{made(rng, ENGLISH, 40)}'", "'en'"))
+    for bound in (100, 20):  # more than the texts of a language, and fewer
+        monkeypatch.setattr(langid, "TRAIN_DOCS", bound)
+        model, copied = langid.train(hot.distinct()), langid.train(hot)
+        assert copied.languages == model.languages == ["de", "en"]
+        assert (copied.scores == model.scores).all()
+
+
 def test_viterbi_against_every_labelling():
     import itertools
 
