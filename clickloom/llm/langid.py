@@ -91,8 +91,8 @@ class Model:
     scores: np.ndarray  # BUCKETS x languages, log-probabilities over ORDERS
     written_in: np.ndarray  # scripts x languages, whether a candidate
 
-    def of_words(self, words: list[str]) -> np.ndarray:
-        """Score of each word in each language; ruled-out languages far below the rest."""
+    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Score of each word in each language, ruled-out languages far below the rest; and whether it has a candidate."""
         owner, bucket, script = ngrams(words)
         order = np.argsort(owner, kind="stable")
         owner, bucket = owner[order], bucket[order]
@@ -100,7 +100,8 @@ class Model:
         found = np.add.reduceat(self.scores[bucket], begins, axis=0)
         candidates = self.written_in[script]
         known = candidates.any(axis=1, keepdims=True)
-        return np.where(known, np.where(candidates, found, found.min() - 100.0), 0.0).astype(np.float32)
+        scores = np.where(known, np.where(candidates, found, found.min() - 100.0), 0.0).astype(np.float32)
+        return scores, known[:, 0]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,8 +205,8 @@ class Judge:
     def __init__(self, model: Model):
         self.model = model
 
-    def spans(self, texts: pa.Array) -> Iterator[list[tuple[int, int, int, int]]]:
-        """Per text: (language, first word, words, letters) of each span."""
+    def spans(self, texts: pa.Array) -> Iterator[list[tuple[int, int, int, int, int]]]:
+        """Per text: (language, first word, words, letters, letters of words with a candidate) of each span."""
         lists = word_lists(texts)
         languages = max(1, len(self.model.languages))
         group: list[list[str]] = []
@@ -219,7 +220,7 @@ class Judge:
         if group:
             yield from self._spans(group)
 
-    def _spans(self, lists: list[list[str]]) -> Iterator[list[tuple[int, int, int, int]]]:
+    def _spans(self, lists: list[list[str]]) -> Iterator[list[tuple[int, int, int, int, int]]]:
         numbers: dict[str, int] = {}
         flat = np.array([numbers.setdefault(w, len(numbers)) for ws in lists for w in ws], dtype=np.int64)
         sizes = np.array([len(ws) for ws in lists], dtype=np.int64)
@@ -227,27 +228,32 @@ class Judge:
             yield from ([] for _ in lists)
             return
         distinct = list(numbers)
-        labels = viterbi(self.model.of_words(distinct), flat, sizes)
-        letters = np.cumsum(np.array([len(w) for w in distinct])[flat])
+        scores, known = self.model.of_words(distinct)
+        labels = viterbi(scores, flat, sizes)
+        lengths = np.array([len(w) for w in distinct])
+        letters, voting = np.cumsum(lengths[flat]), np.cumsum((lengths * known)[flat])
         ends = np.cumsum(sizes)
         changes = np.flatnonzero(np.diff(labels)) + 1
         borders = np.unique(np.concatenate([changes, ends, [0]]))
         first = np.searchsorted(borders, ends - sizes)
         last = np.searchsorted(borders, ends)
-        upto = np.concatenate([[0], letters])
+        upto, votes = np.concatenate([[0], letters]), np.concatenate([[0], voting])
         for begin, a, b in zip(ends - sizes, first, last):
             edges = borders[a : b + 1]
             yield [
-                (int(labels[x]), int(x - begin), int(y - x), int(upto[y] - upto[x]))
+                (int(labels[x]), int(x - begin), int(y - x), int(upto[y] - upto[x]), int(votes[y] - votes[x]))
                 for x, y in zip(edges[:-1], edges[1:])
             ]
 
-    def verdict(self, spans: list[tuple[int, int, int, int]]) -> tuple[str, float]:
-        """Language of most letters and its share; ties go to the first in alphabetical order."""
+    def verdict(self, spans: list[tuple[int, int, int, int, int]]) -> tuple[str, float]:
+        """Language of most letters and its share of all; ties go to the first in alphabetical order.
+
+        Words in a script that no language is written in have no vote, but count in the whole.
+        """
         if not spans:
             return "und", 0.0
-        share = np.bincount([s[0] for s in spans], weights=[s[3] for s in spans])
-        return self.model.languages[int(share.argmax())], float(share.max() / share.sum())
+        share = np.bincount([s[0] for s in spans], weights=[s[4] for s in spans])
+        return self.model.languages[int(share.argmax())], float(share.max() / sum(s[3] for s in spans))
 
 
 _SPAN = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
@@ -258,6 +264,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text", key: str = "do
 
     The whole text is read and nothing else.  Null texts and texts without a
     letter, or any text if no language was learned, are ``und`` with score 0 and no spans.
+    A text wholly in scripts that no language is written in has score 0 as well.
     """
     shipped = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.written_in))
 

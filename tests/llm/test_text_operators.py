@@ -309,6 +309,21 @@ def test_language_model_counts_a_text_once(spark, monkeypatch):
         assert (copied.scores == model.scores).all()
 
 
+def test_unlearned_scripts_have_no_vote(spark):
+    rng = random.Random(10)
+    df = spark.createDataFrame([(made(rng, s, 40), l) for s, l in ((ENGLISH, "en"), (GERMAN, "de")) for _ in range(30)], "text string, lang string")
+    model = langid.train(df)
+    english = made(rng, ENGLISH, 20)
+    letters = sum(map(str.isalpha, english))
+    asked = [(1, "漢字 仮名 " * 9), (2, english + " " + "漢" * (2 * letters)), (3, english + " " + "漢" * (letters // 2))]
+    asked += [(4, english + " " + made(rng, GERMAN, 20)), (5, english), (6, None)]
+    docs = spark.createDataFrame(asked, "doc_id long, text string")
+    got = by_id(langid.identified(docs, model), "lang_pred", "score")
+    assert got[1][0] in ("de", "en") and got[1][1] == 0.0 and got[5] == ("en", 1.0)
+    assert got[2][0] == got[3][0] == "en" and got[2][1] == pytest.approx(1 / 3) and got[3][1] == pytest.approx(2 / 3, abs=0.01)
+    assert {r.doc_id for r in langid.keep_identified(docs, model).collect()} == {3, 4, 5}
+
+
 def test_viterbi_against_every_labelling():
     import itertools
 
