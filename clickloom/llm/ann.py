@@ -58,17 +58,20 @@ def _block(entries: pa.Table, queries: pa.Table, pivots: int) -> pa.Table:
         place[orders.ravel(), np.repeat(np.arange(n), length)] = np.tile(np.arange(length, dtype=np.int16), n)
         own = np.arange(length, dtype=np.int16)[:, None]
         take = min(n, max(RERANKED_LEAST, int(n * RERANKED)))
+        longest = np.linalg.norm(vectors, axis=1).max()
         asked = _matrix(queries.column("asked").combine_chunks()).astype(np.float64)
         for uid, vector, order in zip(
             queries.column("asker").to_numpy(), asked, _matrix(queries.column("order").combine_chunks())
         ):
             theirs = place[order]
             footrule = (np.abs(theirs - own) + theirs).sum(axis=0, dtype=np.int32)  # less a constant
-            near = np.argpartition(footrule, take - 1)[:take] if take < n else np.arange(n)
+            # whatever ties with the last place stays until ids are compared
+            near = np.flatnonzero(footrule <= np.partition(footrule, take - 1)[take - 1])
             rough = vectors[near] @ vector
             most = 2 * (NEIGHBOURS + 1)
             if len(near) > most:
-                near = near[np.argpartition(-rough, most)[:most]]
+                slack = 1e-12 * longest * np.linalg.norm(vector)  # sums of one value may differ by rounding
+                near = near[rough >= np.partition(rough, -most)[-most] - slack]
             scores = (vectors[near] * vector).sum(axis=1)
             best = np.lexsort((uids[near], -scores))[: NEIGHBOURS + 1]
             out.append((np.full(len(best), uid), near[best], scores[best]))

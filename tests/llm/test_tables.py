@@ -68,6 +68,21 @@ def test_neighbours_recall_with_many_blocks(spark, monkeypatch):
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in got) >= 0.9 * 20 * 50 and len(got) == 50
 
 
+def test_tied_neighbours_go_by_id():
+    n = 600
+    rng = np.random.default_rng(11)
+    uids = rng.permutation(n)
+    vectors = np.column_stack([np.ones(n), rng.integers(0, 2, (n, 20))]).astype(float)  # all alike to the query
+    entries = pa.table({
+        "uid": pa.array(uids, pa.int64()), "vector": pa.array(vectors.tolist()), "ids": pa.array([[u] for u in uids.tolist()]),
+        "nearest": pa.array([[0, 1, 2]] * n, pa.list_(pa.int16())),
+    })
+    queries = pa.table({
+        "asker": pa.array([-1], pa.int64()), "asked": pa.array([[1.0] + [0.0] * 20]), "order": pa.array([[0, 1, 2]], pa.list_(pa.int16())),
+    })
+    assert ann._block(entries, queries, 3).column("entry").to_pylist() == list(range(ann.NEIGHBOURS + 1))
+
+
 @pytest.mark.parametrize(
     "url,host,path,rule,verdict",
     [
