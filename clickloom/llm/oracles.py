@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import quality, url_filters
+from clickloom.llm import filter_audit, middle, quality, url_filters
 
 
 def _quality_sql() -> str:
@@ -179,9 +179,84 @@ FROM page JOIN stepped USING (host, path), threshold
 """
 
 
+def _middle_sql() -> str:
+    p, s, m = middle.PREFIX, middle.SUFFIX, middle.MIDDLE
+    draws = ", ".join(f"CAST('0x' || digest[{8 * k + 1}:{8 * k + 8}] AS BIGINT) AS h{k + 1}" for k in range(4))
+    return f"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('{middle.SEED}:' || doc_id) AS digest FROM documents
+), split AS (
+  SELECT doc_id, text, {draws}, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units FROM drawn
+), cut AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '{p}') OR contains(text, '{s}') OR contains(text, '{m}')
+                OR h3 % 100 >= {middle.FIM_RATE} THEN 'plain'
+              WHEN h4 % 100 < {middle.SPM_RATE} THEN 'spm' ELSE 'psm' END AS form
+  FROM split
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{p}' || prefix || '{s}' || suffix || '{m}' || middle
+              ELSE '{s}' || suffix || '{p}' || prefix || '{m}' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def _audit_sql() -> str:
+    letters = ", ".join(f"('{f}')" for f in filter_audit.FILTERS)
+    return f"""
+WITH split AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), failing AS (
+  SELECT doc_id, part, [f for f in [
+    CASE WHEN len(w) < {filter_audit.MIN_WORDS} THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w) THEN 'B' END,
+    CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > {filter_audit.MAX_CAPITAL_PERCENT} * length(text) THEN 'C' END,
+    CASE WHEN regexp_matches(text, '[{filter_audit.SYMBOLS}]') THEN 'D' END,
+    CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' END] if f IS NOT NULL] AS fails
+  FROM split
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), combination AS (
+  SELECT part, fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+  FROM failing LEFT JOIN known USING (doc_id) GROUP BY ALL
+), letter(f) AS (VALUES {letters}
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, CAST(k AS INTEGER) AS step, filter_order[k:k] AS f, string_split(filter_order[1:k - 1], '') AS before
+  FROM orders, range(1, 6) AS r(k)
+), judged AS (
+  SELECT part, filter_order, step, f, list_contains(fails, f) AS failed, len(fails) = 1 AND list_contains(fails, f) AS only_f,
+         list_has_any(fails, before) AS gone, good, toxic, n
+  FROM combination, steps
+), counted AS (
+  SELECT part, filter_order, step, f,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND failed), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (gone AND failed), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (only_f), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND failed AND good = 1), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND failed AND toxic = 1), 0) AS BIGINT) AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM counted
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_url_filters": _url_sql(),
     "op6_substring_dedup": _SUBSTRING,
     "op7_quality_rules": _quality_sql(),
     "op10_ngram_jaccard_join": _NGRAM_JOIN,
+    "op12_fill_in_middle": _middle_sql(),
+    "op13_filter_audit": _audit_sql(),
 }

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import toxicity
 from clickloom.llm.ann import nearest
+from clickloom.llm.byte_pairs import coded
 from clickloom.llm.common import fold, table
+from clickloom.llm.filter_audit import audit
 from clickloom.llm.langid import identified, train, training_rows
+from clickloom.llm.middle import restored, transformed
 from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
 from clickloom.llm.pieces import decoded, encoded
@@ -78,6 +81,24 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def _fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = transformed(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def _filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _language_id,
     "op2_token_counts": _token_counts,
@@ -89,4 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": _toxicity,
     "op9_sentencepiece": _pieces,
     "op10_ngram_jaccard_join": _ngram_join,
+    "op11_byte_level_bpe": _byte_pairs,
+    "op12_fill_in_middle": _fill_in_middle,
+    "op13_filter_audit": _filter_audit,
 }
