@@ -6,7 +6,7 @@ from datetime import UTC, datetime, timedelta
 from zoneinfo import ZoneInfo
 
 import pytest
-from conftest import rows
+from brute import rows
 from pyspark.sql import functions as F
 
 from clickloom.functions.addresses import ip_block, ip_to_long

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import rows
+from brute import rows
 
 from clickloom.operators.geo import add_location, in_country, locate_addresses
 from clickloom.sources.ip_ranges import parse_ranges, read_ranges

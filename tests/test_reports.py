@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import brute
-from conftest import rows
+from brute import rows
 from pyspark.sql import functions as F
 
 from clickloom.operators.dwell import dwell_by

@@ -4,7 +4,7 @@ import random
 
 import brute
 import pytest
-from conftest import rows
+from brute import rows
 from pyspark.sql import functions as F
 
 from clickloom.functions.reloads import is_reload, reload_probability

@@ -5,7 +5,7 @@ import hashlib
 import json
 
 import pytest
-from conftest import rows
+from brute import rows
 from pyspark.sql import functions as F
 
 from clickloom.__main__ import main
