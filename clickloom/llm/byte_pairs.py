@@ -29,7 +29,7 @@ from clickloom.llm.hashing import by_bytes
 _RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 #: Bytes of remembered runs and their ids, with what a dictionary needs for each.
-_REMEMBERED = 96 << 20
+_REMEMBERED = 256 << 20
 _EACH = 250
 #: Longer runs are not remembered.
 _LONG = 1 << 10
@@ -75,7 +75,9 @@ class BytePairs:
         self._low = [0] * (-(-size // 64))
         self._middle = [0] * (-(-size // 4096))
         self._runs: dict[str, bytes] = {}
+        self._older_runs: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
+        self._older_pieces: dict[str, bytes] = {}
         self._taken = 0
 
     def merged(self, pieces: list[bytes]) -> list[bytes]:
@@ -95,20 +97,20 @@ class BytePairs:
                 inside = slice(stops[k] + 1, stops[k + 1])
                 tokens[inside], pair[inside] = -1, -1
                 tokens[stops[k] + 1] = rank
-        self._merge(tokens := array("i", tokens.astype(np.int32).tobytes()), pair)
-        left = np.frombuffer(tokens, np.int32)
+        # lists are faster, arrays a tenth of their size
+        of = np.ndarray.tolist if len(flat) <= 4 * _TOGETHER else lambda x: array("i", x.astype(np.int32).tobytes())
+        self._merge(tokens := of(tokens), pair, of)
+        left = np.array(tokens, np.int32)
         kept = np.concatenate([[0], np.cumsum(left >= 0)])
         blob = left[left >= 0].astype("<u4").tobytes()
         begins, ends = (4 * kept[stops[:-1]]).tolist(), (4 * kept[stops[1:]]).tolist()
         return [blob[a:b] for a, b in zip(begins, ends)]
 
-    def _merge(self, tokens: array, ranks: np.ndarray) -> None:
+    def _merge(self, tokens: list[int] | array, ranks: np.ndarray, of) -> None:
         """Merge in place: what is merged into its left neighbour becomes -1.  ``ranks`` are those of the pairs."""
         merges, buckets, low, middle = self._merges, self._buckets, self._low, self._middle
         n = len(tokens)
-        after = array("i", np.arange(1, n + 1, dtype=np.int32).tobytes())
-        before = array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
-        pair = array("i", ranks.astype(np.int32).tobytes())
+        after, before, pair = of(np.arange(1, n + 1)), of(np.arange(-1, n - 1)), of(ranks)
         top = 0  # a bit for each word of ``middle``
         starts = np.flatnonzero(ranks >= 0)
         starts = starts[np.argsort(ranks[starts], kind="stable")]
@@ -182,12 +184,15 @@ class BytePairs:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit numbers; a null text has none."""
         lists = [(_RUN.findall(t) if not _ODD_SPACE.search(t) else [t]) if t else [] for t in texts]
-        wanted = {r for rs in lists for r in rs}
-        split = {r: self._matches(r) for r in wanted.difference(self._runs)}
-        pieces = self._pieces
+        if self._taken > _REMEMBERED // 2:  # what the next half does not use is forgotten
+            self._runs, self._older_runs = {}, self._runs
+            self._pieces, self._older_pieces = {}, self._pieces
+            self._taken = 0
+        runs, pieces = self._runs, self._pieces
+        split = {r: self._matches(r) for r in self._new(runs, self._older_runs, {r for rs in lists for r in rs})}
         group: list[str] = []
         size = 0
-        for piece in {p for ps in split.values() for p in ps}.difference(pieces):
+        for piece in self._new(pieces, self._older_pieces, {p for ps in split.values() for p in ps}):
             group.append(piece)
             size += len(piece)
             if size >= _TOGETHER:
@@ -195,26 +200,29 @@ class BytePairs:
                 group, size = [], 0
         if group:
             pieces.update(zip(group, self.merged([p.encode() for p in group])))
-        runs = self._runs
         for run, own in split.items():
-            runs[run] = b"".join([pieces[p] for p in own])
+            runs[run] = pieces[own[0]] if len(own) == 1 else b"".join([pieces[p] for p in own])
         coded = [b"".join([runs[r] for r in rs]) for rs in lists]
-        self._forget(split, wanted)
-        return coded
-
-    def _forget(self, split: dict[str, list[str]], wanted: set[str]) -> None:
-        """Long strings at once; all but this batch's runs when there is no more room."""
         for run, own in split.items():
-            self._taken += len(run) + _EACH * (1 + len(own))
-            if len(run) > _LONG:
-                del self._runs[run]
+            self._taken += _EACH * (1 + len(own))
+            if len(run) > _LONG:  # long ones are not remembered
+                del runs[run]
                 for piece in own:
                     if len(piece) > _LONG:
-                        self._pieces.pop(piece, None)
-        if self._taken > _REMEMBERED:
-            self._runs = {r: self._runs[r] for r in wanted if r in self._runs}
-            self._pieces = {}
-            self._taken = sum(len(r) + _EACH for r in self._runs)
+                        pieces.pop(piece, None)
+        return coded
+
+    def _new(self, young: dict[str, bytes], older: dict[str, bytes], wanted: set[str]) -> list[str]:
+        """What is not remembered; what was used before the last half moves to the young."""
+        new = []
+        for key in wanted.difference(young):
+            found = older.get(key)
+            if found is None:
+                new.append(key)
+            else:
+                young[key] = found
+                self._taken += _EACH
+        return new
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """The bytes that ids stand for; an id outside the vocabulary is an error."""
