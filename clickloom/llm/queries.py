@@ -16,7 +16,7 @@ from clickloom.llm.langid import identified, train, training_rows
 from clickloom.llm.middle import restored, transformed
 from clickloom.llm.ngram_join import linked_components
 from clickloom.llm.packing import packed_documents
-from clickloom.llm.pieces import decoded, encoded
+from clickloom.llm.pieces import encoded
 from clickloom.llm.quality import judged
 from clickloom.llm.substring import removed
 from clickloom.llm.token_counts import token_counts
@@ -72,7 +72,7 @@ def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decoded(encoded(table(spark, sf_dir, "documents")))
+    rows = encoded(table(spark, sf_dir, "documents"), back=True)
     return rows.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
