@@ -20,22 +20,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import fold
-from clickloom.llm.hashing import by_bytes
+from clickloom.llm.hashing import by_bytes, flat, positions
 
 #: The classifier's bounds: labelled rows it is fitted on (expected), hash buckets, buckets kept.
 TRAIN_ROWS = 24_000
 BUCKETS = 1 << 20
-KEPT = 20_000
-#: A bucket is kept if at least so many training rows hold it and its share among toxic rows stands out.
+KEPT = 1 << 16
+#: A bucket is kept if at least so many training rows hold it, those of the most rows first; what the
+#: rows are labelled plays no part, as a term may count only together with another.
 MIN_ROWS = 3
-MIN_STANDING = 3.0
 FACTORS = 4
 #: Passes over the rows, and steps of a batch at least, so that few rows are fitted as well.
-EPOCHS = 12
-STEPS = 400
+EPOCHS = 10
+STEPS = 240
 BATCH = 256
-RATE = 0.1
-SHRINK = 2e-4
+RATE, FACTOR_RATE = 0.2, 0.02
+#: What a weight must gain for each row that holds its term, divided by the cube of how far the term stands
+#: out on its own: ordinary words stay at nothing unless the others leave something for them to explain.
+LASSO = 0.3
+#: Shrinkage of factors for each row that holds the term.
+SHRINK = 0.03
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -88,51 +92,56 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margins(row, term, len(texts)), -30, 30)))
 
 
-def fit(kept: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Machine:
-    """Adaptive-step gradient descent on logistic loss over ``rows``, each an array of positions in ``kept``."""
+def fit(kept: np.ndarray, terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, seed: int = 1) -> Machine:
+    """Adaptive-step gradient descent on logistic loss, with an adaptive lasso on the weights.
+
+    ``terms`` holds the rows' positions in ``kept`` end to end, ``ends`` where each row ends; rows may be empty.
+    """
     rng = np.random.default_rng(seed)
     share = min(max(float(labels.mean()) if len(labels) else 0.0, 1e-3), 1 - 1e-3)
-    model = Machine(kept, float(np.log(share / (1 - share))), np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), FACTORS)))
-    past_w, past_v, past_b = np.full(len(kept), 1e-6), np.full((len(kept), FACTORS), 1e-6), 1e-6
-    batches = -(-len(rows) // BATCH)
+    n = len(kept)
+    model = Machine(kept, float(np.log(share / (1 - share))), np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)))
+    begins = ends - np.diff(ends, prepend=0)
+    label = np.repeat(labels, ends - begins)
+    expected = np.bincount(terms, minlength=n) * share
+    standing = np.abs(np.bincount(terms, weights=label, minlength=n) - expected) / np.sqrt(expected + 0.1)
+    penalty = LASSO / np.maximum(standing, 1) ** 3
+    past_w, past_v, past_b = np.ones(n), np.ones((n, FACTORS)), 1.0
+    batches = -(-len(ends) // BATCH)
     for _ in range(max(EPOCHS, -(-STEPS // batches)) if batches else 0):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(ends))
         for begin in range(0, len(order), BATCH):
             batch = order[begin : begin + BATCH]
-            sizes = np.array([len(rows[i]) for i in batch])
-            term = np.concatenate([rows[i] for i in batch]) if sizes.sum() else np.zeros(0, np.int64)
-            row = np.repeat(np.arange(len(batch)), sizes)
+            row, nth = positions(ends[batch] - begins[batch])
+            term = terms[begins[batch][row] + nth]
             margin = np.clip(model.margins(row, term, len(batch)), -30, 30)
-            slope = (1 / (1 + np.exp(-margin)) - labels[batch]) / len(batch)
+            slope = 1 / (1 + np.exp(-margin)) - labels[batch]
             past_b += slope.sum() ** 2
             model.bias -= RATE * slope.sum() / np.sqrt(past_b)
+            if not len(term):
+                continue
             seen, place = np.unique(term, return_inverse=True)
-            g = np.bincount(place, weights=slope[row], minlength=len(seen)) + SHRINK * model.weights[seen] / 10
+            times = np.bincount(place)
+            g = np.bincount(place, weights=slope[row])
             past_w[seen] += g * g
-            model.weights[seen] -= RATE * g / np.sqrt(past_w[seen])
+            step = RATE / np.sqrt(past_w[seen])
+            moved = model.weights[seen] - step * g
+            model.weights[seen] = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty[seen] * times, 0)
             for f in range(FACTORS):
                 v = model.factors[term, f]
                 total = np.bincount(row, weights=v, minlength=len(batch))
-                g = np.bincount(place, weights=slope[row] * (total[row] - v), minlength=len(seen))
-                g += SHRINK * model.factors[seen, f]
+                g = np.bincount(place, weights=slope[row] * (total[row] - v))
+                g += SHRINK * times * model.factors[seen, f]
                 past_v[seen, f] += g * g
-                model.factors[seen, f] -= RATE / 10 * g / np.sqrt(past_v[seen, f])
+                model.factors[seen, f] -= FACTOR_RATE * g / np.sqrt(past_v[seen, f])
     return model
 
 
-def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "text"):
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-        row, bucket = term_rows(batch.column("text"))
-        held, place = np.unique(bucket, return_inverse=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(held),
-                pa.array(np.bincount(place, minlength=len(held))),
-                pa.array(np.bincount(place, weights=toxic[row], minlength=len(held)).astype(np.int64)),
-            ],
-            ["bucket", "n", "toxic"],
-        )
+        _, bucket = term_rows(batch.column("text"))
+        held, n = np.unique(bucket, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], ["bucket", "n"])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
@@ -147,41 +156,38 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     share = TRAIN_ROWS / max(known.count(), 1)
     parts = 1_000_000
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < int(parts * share) + 1)
-    rows = docs.where("text is not null").select("doc_id", "text").join(
+    rows = docs.where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
         F.broadcast(chosen), "doc_id"  # bounded by TRAIN_ROWS
-    ).select("text", "toxic")
-    totals = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
-    n, toxic = totals["n"], totals["toxic"] or 0
+    ).select("doc_id", "text", "toxic")
     counts = (
-        rows.mapInArrow(_class_counts, "bucket long, n long, toxic long")
+        rows.mapInArrow(_bucket_counts, "bucket long, n long")
         .groupBy("bucket")
-        .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+        .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= MIN_ROWS)
     )
-    expected = F.col("n") * (toxic / max(n, 1))
-    standing = F.abs(F.col("toxic") - expected) / F.sqrt(expected + 0.1)
-    best = (
-        counts.where(standing >= MIN_STANDING)
-        .orderBy(F.desc(standing), "bucket")
-        .limit(KEPT)
-        .select("bucket")
-        .toPandas()
-    )
+    best = counts.orderBy(F.desc("n"), "bucket").limit(KEPT).select("bucket").toPandas()
     kept = np.sort(best["bucket"].to_numpy(np.int64))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text"):
             row, term = term_rows(batch.column("text"), kept)
-            parts = np.split(term, np.searchsorted(row, np.arange(1, batch.num_rows)))[: batch.num_rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(parts, pa.list_(pa.int64()))], ["toxic", "terms"]
-            )
-
-    sample = rows.mapInArrow(terms, "toxic int, terms array<long>").toArrow()  # bounded by TRAIN_ROWS
-    toxic_first = zip(sample.column("toxic").to_pylist(), sample.column("terms").to_pylist())
-    known_order = sorted(toxic_first)  # the order of rows must not matter
-    lists = [np.asarray(terms, dtype=np.int64) for _, terms in known_order]
-    return fit(kept, lists, np.array([toxic for toxic, _ in known_order], dtype=float))
+            offsets = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(term.astype(np.int32)))
+            columns = [batch.column("doc_id"), batch.column("toxic"), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "terms"])
+
+    sample = rows.mapInArrow(terms, "doc_id long, toxic int, terms array<int>").toArrow()  # bounded by TRAIN_ROWS
+    values, begins, sizes = flat(sample.column("terms"))
+    ids = sample.column("doc_id").to_numpy()
+    toxic = sample.column("toxic").to_numpy().astype(float)
+    order = np.lexsort((_sums(values, begins, sizes), sizes, toxic, ids))  # the order of rows must not matter
+    row, nth = positions(sizes[order])
+    return fit(kept, values[begins[order][row] + nth], np.cumsum(sizes[order]), toxic[order])
+
+
+def _sums(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    upto = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return upto[begins + sizes] - upto[begins]
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
