@@ -30,6 +30,7 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 _STRETCHES = "doc_id long, stretches array<struct<a:int,b:int>>"
+_CUT_STRETCHES = "doc_id long, key long, stretches array<struct<a:int,b:int>>"
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,8 +68,9 @@ def _stretches(batch: pa.RecordBatch, column: str, before: int, after: int) -> p
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lows, highs))
     pairs = pa.StructArray.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32())], ["a", "b"])
+    of = [c for c in ("doc_id", "key") if c in batch.schema.names]
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pairs)], ["doc_id", "stretches"]
+        [*(batch.column(c) for c in of), pa.ListArray.from_arrays(pa.array(offsets), pairs)], [*of, "stretches"]
     )
 
 
@@ -103,34 +105,52 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # what starts earlier within the batch is settled and need not meet its equals
         _, settled = same_keys([h2, h1], ids, at)
         h1 = np.where(settled, spread(ids, at), h1)
-        columns = (h1, h2, ids, at.astype(np.int32), settled)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h1", "h2", "doc_id", "at", "settled"])
+        key = batch.column("key").to_numpy(zero_copy_only=False)[owner]
+        columns = (h1, h2, ids, at.astype(np.int32), key, settled)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h1", "h2", "doc_id", "at", "key", "settled"])
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in later(batches, ["h1", "h2"], ["doc_id", "at"]):
-        yield batch.select(["doc_id", "at"])
+        yield batch.select(["doc_id", "key", "at"])
+
+
+def _digest(found: Column) -> Column:
+    return F.xxhash64(found)
 
 
 def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """(doc_id, stretches): the stretches [a, b) of word positions to remove, only for documents that have some.
+    """(doc_id, key, stretches): the stretches [a, b) of word positions to remove, only for texts that have some.
 
     ``doc_id`` names a document: rows that repeat one are taken as that document
-    again, not as an earlier one.  Rows with a null id or text take no part.
+    again, not as an earlier one.  ``key`` is 0 unless rows of the id have different words; then
+    it is ``_digest`` of the words, and the row is for these words only.  Rows with a null id or text take no part.
     """
-    found = docs.where("doc_id is not null and text is not null").select(
+    split = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), words(F.col("text")).alias("words")
     )
-    # a document with the words of an earlier one goes whole, and no other needs to look at it
     digests = written(
-        found.where(F.size("words") >= WINDOW).select(
+        split.select(
             "doc_id",
             F.size("words").alias("n"),
-            F.xxhash64("words").alias("d1"),
+            _digest(F.col("words")).alias("d1"),
             F.xxhash64(F.lit(1), "words").alias("d2"),
         ),
         "digests",
     )
+    several = written(
+        digests.groupBy("doc_id").agg(F.min("d1").alias("low"), F.max("d1").alias("high")).where("low != high").select("doc_id"),
+        "several",
+    )
+    named = small(several).withColumn("_several", F.lit(True))
+
+    def keyed(rows: DataFrame, digest: Column) -> DataFrame:
+        key = F.when(F.col("_several"), digest).otherwise(F.lit(0).cast("bigint"))
+        return rows.join(named, "doc_id", "left").withColumn("key", key).drop("_several")
+
+    found = keyed(split.where(F.size("words") >= WINDOW), _digest(F.col("words")))
+    # a document with the words of an earlier one goes whole, and no other needs to look at it
+    digests = keyed(digests.where(F.col("n") >= WINDOW), F.col("d1"))
     first = written(
         digests.groupBy("n", "d1", "d2")
         .agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
@@ -138,10 +158,11 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         "copied",
     )
     copies = written(
-        digests.join(small(first), ["n", "d1", "d2"]).where("doc_id != first").select("doc_id", "n").distinct(), "copies"
+        digests.join(small(first), ["n", "d1", "d2"]).where("doc_id != first").select("doc_id", "key", "n").distinct(),
+        "copies",
     )
-    hashed = found.join(small(copies.select("doc_id")), "doc_id", "left_anti").select(
-        "doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
+    hashed = found.join(small(copies.select("doc_id", "key")), ["doc_id", "key"], "left_anti").select(
+        "doc_id", "key", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
     )
     marks = (
         hashed.mapInArrow(_anchors, "anchor long, doc_id long, at int, settled boolean")
@@ -154,17 +175,17 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     candidates = written(marks.mapInArrow(_candidates, _STRETCHES), "candidates")
     starts = (
         hashed.join(small(candidates), "doc_id")
-        .mapInArrow(_windows, "h1 long, h2 long, doc_id long, at int, settled boolean")
+        .mapInArrow(_windows, "h1 long, h2 long, doc_id long, at int, key long, settled boolean")
         .repartition("h1", "h2")
         .sortWithinPartitions("h1", "h2", "doc_id", "at")
-        .mapInArrow(_later, "doc_id long, at int")
-        .groupBy("doc_id")
+        .mapInArrow(_later, "doc_id long, key long, at int")
+        .groupBy("doc_id", "key")
         .agg(F.collect_set("at").alias("starts"))
     )
     whole = copies.select(
-        "doc_id", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("stretches")
+        "doc_id", "key", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("stretches")
     )
-    return written(starts.mapInArrow(_cuts, _STRETCHES).union(whole), "cuts")
+    return written(starts.mapInArrow(_cuts, _CUT_STRETCHES).union(whole), "cuts")
 
 
 def _without(found: Column, cuts: Column) -> Column:
@@ -181,13 +202,13 @@ def _without(found: Column, cuts: Column) -> Column:
 
 
 #: Columns the join adds; no table has these names.
-_ID, _CUTS, _CUT = "_clickloom_id", "_clickloom_cuts", "_clickloom_cut"
+_ID, _KEY, _CUTS, _CUT = "_clickloom_id", "_clickloom_key", "_clickloom_cuts", "_clickloom_cut"
 
 
 def _cut_rows(docs: DataFrame) -> DataFrame:
     """``docs`` with a struct of n_words, n_removed and kept."""
     stretches = small(repeated_stretches(docs)).select(
-        F.col("doc_id").alias(_ID), F.col("stretches").alias(_CUTS)
+        F.col("doc_id").alias(_ID), F.col("key").alias(_KEY), F.col("stretches").alias(_CUTS)
     )
     cuts = F.col(_CUTS)
     gone = F.aggregate(cuts, F.lit(0).cast("bigint"), lambda n, c: n + c["b"] - c["a"])
@@ -199,8 +220,9 @@ def _cut_rows(docs: DataFrame) -> DataFrame:
             F.array_join(F.when(cuts.isNull(), w).otherwise(_without(w, cuts)), " ").alias("kept"),
         ),
     )
-    joined = docs.join(stretches, docs["doc_id"].cast("bigint") == stretches[_ID], "left")
-    return joined.withColumn(_CUT, cut).drop(_ID, _CUTS)
+    own = (F.col(_KEY) == 0) | (F.col(_KEY) == _digest(words(docs["text"])))
+    joined = docs.join(stretches, (docs["doc_id"].cast("bigint") == stretches[_ID]) & own, "left")
+    return joined.withColumn(_CUT, cut).drop(_ID, _KEY, _CUTS)
 
 
 def removed(docs: DataFrame) -> DataFrame:
