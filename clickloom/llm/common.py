@@ -57,10 +57,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Key tables of up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Key tables of up to this size are broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def small(keys: DataFrame) -> DataFrame:
-    """A written key table (an id and few numbers a row), marked for broadcast if it has few rows."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    """A written key table of numbers and arrays of them, marked for broadcast if its values are few bytes."""
+    lists = [F.coalesce(F.size(c), F.lit(0)) for c, kind in keys.dtypes if kind.startswith("array")]
+    row = sum((16 * size for size in lists), F.lit(16 + 8 * len(keys.columns)).cast("bigint"))
+    return F.broadcast(keys) if (keys.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES else keys

@@ -10,6 +10,7 @@ of most of its letters.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,12 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import fold
-from clickloom.llm.hashing import by_bytes
+from clickloom.llm.common import fold, written
+from clickloom.llm.hashing import by_bytes, positions
 
-#: Model bounds: different texts to learn from for each language (expected), and languages.
+#: Model bound: different texts to learn from for each language (expected).
 TRAIN_DOCS = 4000
-MAX_LANGUAGES = 512
 BUCKETS = 1 << 16
 ORDERS = 4
 SMOOTHING = 0.5
@@ -49,7 +49,20 @@ SCRIPT_STARTS = (
 SCRIPTS = sorted({name for _, name in SCRIPT_STARTS})
 _STARTS = np.array([start for start, _ in SCRIPT_STARTS])
 _SCRIPT_AT = np.array([SCRIPTS.index(name) for _, name in SCRIPT_STARTS])
-_WORD = re.compile(r"[^\W\d_]+")
+#: Up to so many languages the scores are laid out as a table in a task.
+TABLE = 256
+
+
+def _marks() -> str:
+    """Combining marks, vowel signs among them, as ranges for a pattern."""
+    held = [c for c in (*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    first = [c for c, before in zip(held, [-2, *held]) if c != before + 1]
+    last = [c for c, after in zip(held, [*held[1:], -2]) if c + 1 != after]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(first, last))
+
+
+#: Letters with the marks that go with them.
+_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{_marks()}])*")
 
 
 def scripts_of(points: np.ndarray) -> np.ndarray:
@@ -57,7 +70,7 @@ def scripts_of(points: np.ndarray) -> np.ndarray:
 
 
 def word_lists(texts: pa.Array) -> list[list[str]]:
-    """Lower-cased runs of letters of each text."""
+    """Lower-cased runs of letters of each text, with the marks on them."""
     found = []
     for text in texts.to_pylist():
         words = _WORD.findall(text.lower()) if text else []
@@ -87,17 +100,53 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
+    """Log-probabilities over ORDERS: what a bucket never seen has in each language, and what each one seen adds.
+
+    ``starts`` says where a bucket's entries begin in ``of`` (languages) and ``gains``.
+    """
+
     languages: list[str]
-    scores: np.ndarray  # BUCKETS x languages, log-probabilities over ORDERS
+    starts: np.ndarray
+    of: np.ndarray
+    gains: np.ndarray
+    unseen: np.ndarray
     written_in: np.ndarray  # scripts x languages, whether a candidate
 
+    def parts(self) -> tuple:
+        return self.languages, self.starts, self.of, self.gains, self.unseen, self.written_in
+
+    def _table(self) -> np.ndarray | None:
+        if len(self.languages) > TABLE:
+            return None
+        if not hasattr(self, "_laid_out"):
+            self._laid_out = np.tile(self.unseen, (BUCKETS, 1))
+            self._laid_out[np.repeat(np.arange(BUCKETS), np.diff(self.starts)), self.of] += self.gains
+        return self._laid_out
+
+    def _sums(self, owner: np.ndarray, bucket: np.ndarray, words: int) -> np.ndarray:
+        """Sum of the scores of each word's n-grams, which come in order of their words."""
+        table, count = self._table(), len(self.languages)
+        found = np.zeros((words, count), dtype=np.float32)
+        for begin in range(0, len(owner), most := max(1, CELLS // count)):  # a word may have any number of n-grams
+            own, seen = owner[begin : begin + most], bucket[begin : begin + most]
+            heads = np.flatnonzero(np.diff(own, prepend=-1))
+            if table is not None:
+                found[own[heads]] += np.add.reduceat(table[seen], heads, axis=0)
+                continue
+            row, nth = positions(self.starts[seen + 1] - self.starts[seen])
+            at = self.starts[seen][row] + nth
+            first, last = int(own[0]), int(own[-1])
+            cell = (own[row] - first) * count + self.of[at]
+            added = np.bincount(cell, weights=self.gains[at], minlength=(last - first + 1) * count)
+            times = np.bincount(own - first, minlength=last - first + 1)
+            found[first : last + 1] += added.reshape(-1, count) + times[:, None] * self.unseen
+        return found
+
     def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Score of each word in each language, ruled-out languages far below the rest; and whether it has a candidate."""
         owner, bucket, script = ngrams(words)
         order = np.argsort(owner, kind="stable")
-        owner, bucket = owner[order], bucket[order]
-        begins = np.searchsorted(owner, np.arange(len(words)))
-        found = np.add.reduceat(self.scores[bucket], begins, axis=0)
+        found = self._sums(owner[order], bucket[order], len(words))
         candidates = self.written_in[script]
         known = candidates.any(axis=1, keepdims=True)
         scores = np.where(known, np.where(candidates, found, found.min() - 100.0), 0.0).astype(np.float32)
@@ -135,35 +184,41 @@ def train(labelled: DataFrame) -> Model:
     known = labelled.where("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), "text"
     )
-    sizes = (
-        known.groupBy("lang")
-        .agg(F.count_distinct(F.xxhash64("text")).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    )
-    if not sizes:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
+    sizes = written(known.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("texts")), "languages")
+    languages = sorted(r["lang"] for r in sizes.select("lang").collect())  # the model names every one
+    if not languages:
+        none = np.zeros(0, np.int64)
+        return Model([], np.zeros(BUCKETS + 1, np.int64), none, none.astype(np.float32), none.astype(np.float32), np.zeros((len(SCRIPTS), 0), bool))
     parts = 1_000_000
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], -(-parts * TRAIN_DOCS // r["n"]))))
-    chosen = known.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < share[F.col("lang")]).distinct()
+    share = F.ceil(F.lit(parts * TRAIN_DOCS) / F.col("texts"))
+    chosen = (
+        known.join(F.broadcast(sizes), "lang")  # a row for each language
+        .where(F.pmod(F.xxhash64("text"), F.lit(parts)) < share)
+        .select("lang", "text")
+        .distinct()
+    )
+    numbers = known.sparkSession.createDataFrame(list(enumerate(languages)), "number int, lang string")
     rows = (
         chosen.mapInArrow(_counted, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .join(F.broadcast(numbers), "lang")
+        .select("number", F.col("bucket").cast("int").alias("bucket"), "n")
+        .toArrow()
     )  # at most BUCKETS rows for each language
-    languages = sorted(rows["lang"].unique())
-    column = np.searchsorted(np.array(languages, dtype=object), rows["lang"].to_numpy(dtype=object))
-    bucket, n = rows["bucket"].to_numpy(np.int64), rows["n"].to_numpy(np.float64)
+    column, bucket, n = (rows.column(c).to_numpy() for c in ("number", "bucket", "n"))
     grams = bucket >= 0
-    counts = np.zeros((BUCKETS, len(languages)))
-    counts[bucket[grams], column[grams]] = n[grams]
     letters = np.zeros((len(SCRIPTS), len(languages)))
     letters[-1 - bucket[~grams], column[~grams]] = n[~grams]
-    smoothed = counts + SMOOTHING
-    scores = np.log(smoothed / smoothed.sum(axis=0)) / ORDERS
-    return Model(languages, scores.astype(np.float32), letters >= SCRIPT_SHARE * letters.sum(axis=0))
+    column, bucket, n = column[grams], bucket[grams], n[grams].astype(np.float64)
+    order = np.lexsort((column, bucket))
+    column, bucket, n = column[order], bucket[order], n[order]
+    total = np.bincount(column, weights=n, minlength=len(languages)) + SMOOTHING * BUCKETS
+    unseen = (np.log(SMOOTHING / total) / ORDERS).astype(np.float32)
+    gains = (np.log((n + SMOOTHING) / SMOOTHING) / ORDERS).astype(np.float32)
+    starts = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+    written_in = (letters >= SCRIPT_SHARE * letters.sum(axis=0)) & (letters > 0)
+    return Model(languages, starts, column.astype(np.int32), gains, unseen, written_in)
 
 
 def viterbi(scores: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -173,7 +228,7 @@ def viterbi(scores: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> np.ndar
     starts = (ends - sizes)[order]
     lengths = sizes[order]
     count = scores.shape[1]
-    back = np.empty((len(words), count), dtype=np.int16)
+    back = np.empty((len(words), count), dtype=np.int16 if count < 1 << 15 else np.int32)
     best = np.zeros((len(sizes), count), dtype=np.float32)
     own = np.arange(count)
     active = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), side="left")
@@ -266,7 +321,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text", key: str = "do
     letter, or any text if no language was learned, are ``und`` with score 0 and no spans.
     A text wholly in scripts that no language is written in has score 0 as well.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.written_in))
+    shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(Model(*shipped.value))
@@ -294,8 +349,11 @@ def identified(docs: DataFrame, model: Model, text: str = "text", key: str = "do
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
-    """The rows of ``docs`` in which one language holds at least ``least`` of the letters."""
-    shipped = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.written_in))
+    """The rows of ``docs`` in which one language holds at least ``least`` of the letters.
+
+    Null texts and texts without a letter go; repeated rows are judged alike, and all columns stay.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(Model(*shipped.value))
