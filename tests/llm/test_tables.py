@@ -181,7 +181,7 @@ def test_every_query_runs(spark):
     import __spark_entry__
 
     assert QUERIES.keys() <= __spark_entry__.queries().keys() and ORACLES.keys() <= QUERIES.keys()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
