@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import re
+import string
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -34,21 +35,31 @@ _EACH = 250
 #: Longer runs are not remembered.
 _LONG = 1 << 10
 #: Characters of pre-tokens that go through one queue, one pre-token at least.
-_TOGETHER = 1 << 17
+_TOGETHER = 1 << 19
+#: Buckets of so many positions are merged at once.
+_MANY = 96
 
 
-class _Merges(dict):
-    """Rank of two tokens merged, or -1, by both ids in one key; worked out at first sight."""
+class _Merges:
+    """The rank of any two tokens that make a third, by both ids in one number."""
 
-    def __init__(self, ranks: dict[bytes, int], texts: dict[int, bytes]):
-        self._ranks, self._texts = ranks, texts
+    def __init__(self, ranks: dict[bytes, int]):
+        found = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = ranks.get(token[:k]), ranks.get(token[k:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = rank
+        self.of = found
+        self._keys = np.sort(np.fromiter(found, np.int64, len(found)))
+        self._ranks = np.array([found[k] for k in self._keys.tolist()] or [-1], dtype=np.int32)
 
-    def __missing__(self, key: int) -> int:
-        if len(self) >= 1 << 18:
-            self.clear()
-        texts = self._texts
-        found = self[key] = self._ranks.get(texts[key >> 32] + texts[key & 0xFFFFFFFF], -1)
-        return found
+    def of_all(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of tokens, -1 where there is none; a stop (-1) goes with nothing."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
+        same = self._keys[at] == keys if len(self._keys) else np.zeros(len(keys), bool)
+        return np.where(same & (left >= 0) & (right >= 0), self._ranks[at], -1)
 
 
 class BytePairs:
@@ -64,11 +75,13 @@ class BytePairs:
         self.texts = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.stand_ins = stand_ins or {}
+        #: Whether a run of ASCII letters, and one behind a space, is one match.
+        self._plain = all(self.pattern.findall(x) == [x] for x in (string.ascii_letters, f" {string.ascii_letters}"))
         self._single = np.array([ranks[bytes([b])] for b in range(256)])
         self._of_bytes = np.array(
             [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         ).reshape(256, 256)
-        self._merges = _Merges(ranks, self.texts)
+        self._merges = _Merges(ranks)
         # the queue: buckets by rank, a bit for each bucket that holds anything, a bit for each word of those
         size = max(ranks.values()) + 1
         self._buckets: list[list[int]] = [[] for _ in range(size)]
@@ -97,20 +110,20 @@ class BytePairs:
                 inside = slice(stops[k] + 1, stops[k + 1])
                 tokens[inside], pair[inside] = -1, -1
                 tokens[stops[k] + 1] = rank
-        # lists are faster, arrays a tenth of their size
-        of = np.ndarray.tolist if len(flat) <= 4 * _TOGETHER else lambda x: array("i", x.astype(np.int32).tobytes())
-        self._merge(tokens := of(tokens), pair, of)
-        left = np.array(tokens, np.int32)
+        left = self._merge(tokens, pair)
         kept = np.concatenate([[0], np.cumsum(left >= 0)])
         blob = left[left >= 0].astype("<u4").tobytes()
         begins, ends = (4 * kept[stops[:-1]]).tolist(), (4 * kept[stops[1:]]).tolist()
         return [blob[a:b] for a, b in zip(begins, ends)]
 
-    def _merge(self, tokens: list[int] | array, ranks: np.ndarray, of) -> None:
-        """Merge in place: what is merged into its left neighbour becomes -1.  ``ranks`` are those of the pairs."""
-        merges, buckets, low, middle = self._merges, self._buckets, self._low, self._middle
-        n = len(tokens)
-        after, before, pair = of(np.arange(1, n + 1)), of(np.arange(-1, n - 1)), of(ranks)
+    def _merge(self, start: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        """The tokens that are left, with -1 for what was merged into its left neighbour; ``ranks`` are those of the pairs."""
+        merges, buckets, low, middle = self._merges.of.get, self._buckets, self._low, self._middle
+        n = len(start)
+        tokens, after, before, pair = (
+            array("i", x.astype(np.int32).tobytes()) for x in (start, np.arange(1, n + 1), np.arange(-1, n - 1), ranks)
+        )
+        lists = tuple(np.frombuffer(x, np.int32) for x in (tokens, after, before, pair))
         top = 0  # a bit for each word of ``middle``
         starts = np.flatnonzero(ranks >= 0)
         starts = starts[np.argsort(ranks[starts], kind="stable")]
@@ -124,7 +137,7 @@ class BytePairs:
                 middle[word >> 6] |= 1 << (word & 63)
                 top |= 1 << (word >> 6)
             if not top:
-                return
+                return lists[0]
             word = (top & -top).bit_length() - 1
             held = middle[word]
             word = word << 6 | (held & -held).bit_length() - 1
@@ -137,6 +150,13 @@ class BytePairs:
                 if not middle[word >> 6]:
                     top &= top - 1
             fresh = []
+            if len(bucket) >= _MANY and (found := self._at_once(rank, np.unique(bucket), *lists)) is not None:
+                for new, places in found:
+                    if buckets[new]:
+                        buckets[new].extend(places)
+                    else:
+                        fresh.append((new, places))
+                continue
             bucket.sort()
             for done, left in enumerate(bucket, 1):  # its merges make longer tokens, so none comes to this rank
                 if pair[left] != rank:
@@ -149,7 +169,7 @@ class BytePairs:
                 lowest = rank
                 token = tokens[right]
                 if token >= 0:
-                    new = pair[left] = merges[rank << 32 | token]
+                    new = pair[left] = merges(rank << 32 | token, -1)
                     if new >= 0:
                         if buckets[new]:
                             buckets[new].append(left)
@@ -161,7 +181,7 @@ class BytePairs:
                 at = before[left]
                 token = tokens[at]
                 if token >= 0:
-                    new = pair[at] = merges[token << 32 | rank]
+                    new = pair[at] = merges(token << 32 | rank, -1)
                     if new >= 0:
                         if buckets[new]:
                             buckets[new].append(at)
@@ -175,21 +195,54 @@ class BytePairs:
                         fresh.append((rank, bucket[done:]))
                     break
 
+    def _at_once(
+        self, rank: int, places: np.ndarray, tokens: np.ndarray, after: np.ndarray, before: np.ndarray, pair: np.ndarray
+    ) -> list[tuple[int, list[int]]] | None:
+        """Merge a whole bucket if its order does not matter, and return what goes into which bucket; else nothing.
+
+        The order matters where two of its pairs overlap or touch, or where a merge makes room for one of lower rank.
+        """
+        places = places[pair[places] == rank]
+        gone = after[places]
+        right, left = after[gone], before[places]
+        if (pair[gone] == rank).any() or (pair[right] == rank).any():
+            return None
+        this = np.full(len(places), rank)
+        to_right, to_left = self._merges.of_all(this, tokens[right]), self._merges.of_all(tokens[left], this)
+        new = np.concatenate([to_right, to_left])
+        known = new >= 0
+        if (new[known] < rank).any():
+            return None
+        tokens[places], tokens[gone] = rank, -1
+        after[places], before[right] = right, places
+        pair[gone], pair[places] = -1, to_right
+        pair[left] = to_left
+        at, new = np.concatenate([places, left])[known], new[known]
+        order = np.argsort(new, kind="stable")
+        at, new = at[order], new[order]
+        edges = np.flatnonzero(np.diff(new, prepend=-1))
+        return [(r, p.tolist()) for r, p in zip(new[edges].tolist(), np.split(at, edges[1:]))]
+
     def _matches(self, run: str) -> list[str]:
         """The pre-tokens of ``run``."""
+        if self._plain and (run[1:] if run[0] == " " else run).isalpha() and run.isascii():
+            return [run]
         if self.stand_ins and not run.isascii() and (seen := run.translate(self.stand_ins)) != run:
             return [run[m.start() : m.end()] for m in self.pattern.finditer(seen)]
         return self.pattern.findall(run)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit numbers; a null text has none."""
-        lists = [(_RUN.findall(t) if not _ODD_SPACE.search(t) else [t]) if t else [] for t in texts]
         if self._taken > _REMEMBERED // 2:  # what the next half does not use is forgotten
             self._runs, self._older_runs = {}, self._runs
             self._pieces, self._older_pieces = {}, self._pieces
             self._taken = 0
         runs, pieces = self._runs, self._pieces
-        split = {r: self._matches(r) for r in self._new(runs, self._older_runs, {r for rs in lists for r in rs})}
+        lists = [(_RUN.findall(t) if not _ODD_SPACE.search(t) else [t]) if t else [] for t in texts]
+        parts = [list(map(runs.get, rs)) for rs in lists]
+        missing = [k for k, ps in enumerate(parts) if None in ps]
+        unknown = {r for k in missing for r, p in zip(lists[k], parts[k]) if p is None}
+        split = {r: self._matches(r) for r in self._new(runs, self._older_runs, unknown)}
         group: list[str] = []
         size = 0
         for piece in self._new(pieces, self._older_pieces, {p for ps in split.values() for p in ps}):
@@ -202,7 +255,9 @@ class BytePairs:
             pieces.update(zip(group, self.merged([p.encode() for p in group])))
         for run, own in split.items():
             runs[run] = pieces[own[0]] if len(own) == 1 else b"".join([pieces[p] for p in own])
-        coded = [b"".join([runs[r] for r in rs]) for rs in lists]
+        for k in missing:
+            parts[k] = map(runs.get, lists[k])
+        coded = list(map(b"".join, parts))
         for run, own in split.items():
             self._taken += _EACH * (1 + len(own))
             if len(run) > _LONG:  # long ones are not remembered
