@@ -23,7 +23,7 @@ from clickloom.llm.common import fold
 from clickloom.llm.hashing import by_bytes, flat, positions
 
 #: The classifier's bounds: labelled rows it is fitted on (expected), hash buckets, buckets kept.
-TRAIN_ROWS = 24_000
+TRAIN_ROWS = 16_000
 BUCKETS = 1 << 20
 KEPT = 1 << 16
 #: A bucket is kept if at least so many training rows hold it, those of the most rows first; what the
@@ -92,27 +92,33 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margins(row, term, len(texts)), -30, 30)))
 
 
-def fit(kept: np.ndarray, terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, seed: int = 1) -> Machine:
+def fit(
+    kept: np.ndarray, terms: np.ndarray, begins: np.ndarray, sizes: np.ndarray, labels: np.ndarray, seed: int = 1
+) -> Machine:
     """Adaptive-step gradient descent on logistic loss, with an adaptive lasso on the weights.
 
-    ``terms`` holds the rows' positions in ``kept`` end to end, ``ends`` where each row ends; rows may be empty.
+    ``terms`` holds the rows' positions in ``kept``, those of a row from its ``begins`` on; rows may be empty.
     """
     rng = np.random.default_rng(seed)
     share = min(max(float(labels.mean()) if len(labels) else 0.0, 1e-3), 1 - 1e-3)
     n = len(kept)
     model = Machine(kept, float(np.log(share / (1 - share))), np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)))
-    begins = ends - np.diff(ends, prepend=0)
-    label = np.repeat(labels, ends - begins)
-    expected = np.bincount(terms, minlength=n) * share
-    standing = np.abs(np.bincount(terms, weights=label, minlength=n) - expected) / np.sqrt(expected + 0.1)
+    held, toxic = np.zeros(n), np.zeros(n)
+    for at in range(0, len(sizes), BATCH):  # batch by batch, as all terms' rows at once would be many times the terms
+        row, nth = positions(sizes[at : at + BATCH])
+        term = terms[begins[at : at + BATCH][row] + nth]
+        held += np.bincount(term, minlength=n)
+        toxic += np.bincount(term, weights=labels[at : at + BATCH][row], minlength=n)
+    expected = held * share
+    standing = np.abs(toxic - expected) / np.sqrt(expected + 0.1)
     penalty = LASSO / np.maximum(standing, 1) ** 3
     past_w, past_v, past_b = np.ones(n), np.ones((n, FACTORS)), 1.0
-    batches = -(-len(ends) // BATCH)
+    batches = -(-len(sizes) // BATCH)
     for _ in range(max(EPOCHS, -(-STEPS // batches)) if batches else 0):
-        order = rng.permutation(len(ends))
+        order = rng.permutation(len(sizes))
         for begin in range(0, len(order), BATCH):
             batch = order[begin : begin + BATCH]
-            row, nth = positions(ends[batch] - begins[batch])
+            row, nth = positions(sizes[batch])
             term = terms[begins[batch][row] + nth]
             margin = np.clip(model.margins(row, term, len(batch)), -30, 30)
             slope = 1 / (1 + np.exp(-margin)) - labels[batch]
@@ -181,13 +187,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     ids = sample.column("doc_id").to_numpy()
     toxic = sample.column("toxic").to_numpy().astype(float)
     order = np.lexsort((_sums(values, begins, sizes), sizes, toxic, ids))  # the order of rows must not matter
-    row, nth = positions(sizes[order])
-    return fit(kept, values[begins[order][row] + nth], np.cumsum(sizes[order]), toxic[order])
+    return fit(kept, values, begins[order], sizes[order], toxic[order])
 
 
 def _sums(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    upto = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return upto[begins + sizes] - upto[begins]
+    """Sum of each row's values; the rows lie end to end."""
+    found = np.zeros(len(sizes), dtype=np.int64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        found[full] = np.add.reduceat(values, begins[full], dtype=np.int64)
+    return found
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
