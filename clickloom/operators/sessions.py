@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.timekeys import SYDNEY, day_key, local_date
@@ -14,15 +14,12 @@ GAP_MS = 1_800_000
 RELOAD_KEY = ("masthead", "trackingId", "timestamp")
 
 
-def session_slots(
-    slots: DataFrame, keys: Sequence[str], gap_ms: int = GAP_MS, carry: Sequence[str] = ()
-) -> DataFrame:
+def session_slots(slots: DataFrame, keys: Sequence[str], gap_ms: int = GAP_MS) -> DataFrame:
     """Stitch slot summaries into sessions.
 
     ``slots`` has one row per key and slot with ``_first``, ``_last`` and
-    ``_views``, and any columns to ``carry`` along.  A slot is no longer than
-    the gap, so its views always share a session and only neighbouring slots
-    need comparing.
+    ``_views``.  A slot is no longer than the gap, so its views always share a
+    session and only neighbouring slots need comparing.
     """
     along = Window.partitionBy(*keys).orderBy("_slot")
     silence = F.col("_first") - F.lag("_last").over(along)
@@ -33,7 +30,6 @@ def session_slots(
         .select(
             *keys,
             "_slot",
-            *carry,
             F.min("_first").over(session).alias("sessionStart"),
             F.max("_last").over(session).alias("sessionEnd"),
             F.sum("_views").over(session).alias("numPage"),
@@ -49,37 +45,21 @@ def _slot_summaries(clicks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _mark() -> Column:
-    return F.concat_ws("|", "masthead", "timestamp")
-
-
-MARKS = ("_reloadTimes", "_reloads")
-
-
-def _is_marked() -> Column:
-    # Numbers first: even a slot with thousands of marks is scanned in
-    # microseconds, and texts are compared at marked instants only.
-    marked = F.array_contains("_reloadTimes", F.col("timestamp")) & F.array_contains(
-        "_reloads", _mark()
-    )
-    return F.coalesce(marked, F.lit(False))
+def _instant(keys: Sequence[str], reloads: DataFrame) -> list[str]:
+    """What a view and a mark must agree in, the columns that place them in a slot first."""
+    placed = [key for key in (*keys, "_slot") if key in reloads.columns]
+    return list(dict.fromkeys((*placed, "masthead", "timestamp")))
 
 
 def _slot_summaries_without(
     clicks: DataFrame, keys: Sequence[str], reloads: DataFrame
 ) -> DataFrame:
-    """Summaries of the views that stay, each with the marks of those that go."""
-    mark_keys = [key for key in (*keys, "_slot") if key in reloads.columns]
-    # At most one mark per masthead and instant of a slot; in practice a handful.
-    marks = reloads.groupBy(*mark_keys).agg(
-        F.collect_set("timestamp").alias("_reloadTimes"), F.collect_set(_mark()).alias("_reloads")
+    """Summaries of the views that stay."""
+    moments = clicks.groupBy(*dict.fromkeys((*keys, "_slot", "masthead", "timestamp"))).agg(
+        F.count("*").alias("_views")
     )
-    moments = clicks.groupBy(
-        *dict.fromkeys((*keys, "_slot", "masthead", "timestamp"))
-    ).agg(F.count("*").alias("_views"))
-    kept = (
-        moments.join(marks, mark_keys, "left")
-        .where(~_is_marked())
+    return (
+        moments.join(reloads, _instant(keys, reloads), "left_anti")
         .groupBy(*keys, "_slot")
         .agg(
             F.min("timestamp").alias("_first"),
@@ -87,9 +67,20 @@ def _slot_summaries_without(
             F.sum("_views").alias("_views"),
         )
     )
-    # Joined once more rather than carried along with every instant of a slot;
-    # both joins read the same shuffle.
-    return kept.join(marks, mark_keys, "left")
+
+
+def _unmarked(clicks: DataFrame, keys: Sequence[str], reloads: DataFrame) -> DataFrame:
+    """The clicks at no instant of ``reloads``, in the partitions of their visitor's slots.
+
+    Clicks and marks are merged and pass once in the order of their instants,
+    so a mark costs as much as a click however many a slot holds.
+    """
+    instant = _instant(keys, reloads)
+    placed = [key for key in instant if key not in ("masthead", "timestamp") or key in keys]
+    marks = reloads.select(*instant, F.lit(True).alias("_marked"))
+    merged = clicks.withColumn("_marked", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    gone = F.max("_marked").over(Window.partitionBy(*instant))
+    return merged.repartition(*placed).withColumn("_gone", gone).where(~F.col("_gone")).drop("_gone", "_marked")
 
 
 def sessionise(
@@ -109,8 +100,10 @@ def sessionise(
     ``reloads`` (see ``reload.reload_flags``) lists views to leave out: giving
     them here rather than removing them first saves a shuffle of whole clicks.
 
-    The clicks are shuffled once, by visitor and slot, and joined to one row
-    per such pair, a join adaptive execution can split when a visitor is hot.
+    The clicks are shuffled once, by visitor and slot, and joined to one row per
+    such pair.  Without ``reloads`` the join comes straight from a shuffle on both sides, so
+    that adaptive execution can split a hot visitor's slot; with them the clicks of a
+    slot pass through one task, in front of the join.
     """
     slot_ms = min(slot_ms, gap_ms)
     keys = [*scope, "trackingId"] + (["_day"] if by_day else [])
@@ -126,15 +119,13 @@ def sessionise(
         return rows.withColumns(added)
 
     clicks = clicks.transform(slotted)
-    carry = [] if reloads is None else MARKS
-    slots = _slot_summaries(clicks, keys) if reloads is None else _slot_summaries_without(
-        clicks, keys, reloads.transform(slotted)
-    )
-    # Joined straight from a shuffle on both sides, so that a hot visitor's
-    # slot can be split at run time.
-    joined = clicks.join(session_slots(slots, keys, gap_ms, carry), [*keys, "_slot"])
-    if reloads is not None:
-        joined = joined.where(~_is_marked()).drop(*MARKS)
+    if reloads is None:
+        slots = _slot_summaries(clicks, keys)
+    else:
+        reloads = reloads.transform(slotted)
+        slots = _slot_summaries_without(clicks, keys, reloads)
+        clicks = _unmarked(clicks, keys, reloads)
+    joined = clicks.join(session_slots(slots, keys, gap_ms), [*keys, "_slot"])
 
     session_id = [F.col("sessionStart").cast("string"), F.col("trackingId")]
     if by_day:

@@ -10,34 +10,42 @@ from clickloom.functions.addresses import ip_block, ip_to_long, is_address
 COLUMNS = "start string, end string, country string, region string, city string"
 
 
-def with_line_offsets(lines: DataFrame, newline_bytes: int = 1) -> DataFrame:
+#: Lines that one task puts in order at once.
+LINES_TOGETHER = 65_536
+
+
+def with_line_offsets(
+    lines: DataFrame, newline_bytes: int = 1, together: int = LINES_TOGETHER
+) -> DataFrame:
     """Add ``offset``: the byte in the (unpacked) file at which each line starts.
 
-    ``lines`` is a plain ``read.text``.  Each read split is summed on its own,
-    and only the splits' totals, one row each, are summed in order.
+    ``lines`` is a plain ``read.text``.  Prefix sums in two steps: the sizes of
+    blocks of lines, one row each, are summed in the order of the file, and
+    lines within their block; so no task puts a file in order, not even one
+    that cannot be split.  Every line must end with ``newline_bytes`` bytes.
     """
+    nth = F.monotonically_increasing_id()
     placed = lines.select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_nth"),
+        nth.alias("_nth"),
         (F.octet_length("value") + newline_bytes).cast("bigint").alias("_bytes"),
-    )
-    earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = Window.partitionBy("_file", "_split").orderBy("_nth").rowsBetween(
+    ).withColumn("_block", F.expr(f"_nth div {together}"))
+    block = ("_file", "_split", "_block")
+    earlier = Window.partitionBy("_file").orderBy("_split", "_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    before = Window.partitionBy(*block).orderBy("_nth").rowsBetween(Window.unboundedPreceding, -1)
     none = F.lit(0).cast("bigint")
-    splits = (
-        placed.groupBy("_file", "_split")
+    blocks = (
+        placed.groupBy(*block)
         .agg(F.sum("_bytes").alias("_size"))
-        .select("_file", "_split", F.coalesce(F.sum("_size").over(earlier), none).alias("_base"))
+        .select(*block, F.coalesce(F.sum("_size").over(earlier), none).alias("_base"))
     )
     return (
         placed.withColumn("_within", F.coalesce(F.sum("_bytes").over(before), none))
-        .join(splits, ["_file", "_split"])
+        .join(blocks, list(block))
         .select("value", (F.col("_base") + F.col("_within")).alias("offset"))
     )
 

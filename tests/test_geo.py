@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import bisect
+import gzip
 import random
 
+import pytest
 from brute import rows
+from pyspark.sql import functions as F
 
-from clickloom.operators.geo import add_location, in_country, locate_addresses
-from clickloom.sources.ip_ranges import parse_ranges, read_ranges
+from clickloom.operators.geo import _last_ranges, add_location, in_country, locate_addresses
+from clickloom.sources.ip_ranges import parse_ranges, read_ranges, with_line_offsets
 
 RANGES = (
     "lo bigint, hi bigint, Country string, Region string, City string, "
@@ -44,6 +48,52 @@ def test_lookup_equals_brute_force(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_lookup_in_buckets_of_many_ranges(spark):
+    """Short ranges at any place, gaps, blocks without a start, one long range, ends on the edges of blocks."""
+    draw = random.Random(11)
+    bounds, at = [], 70_000
+    while at < 400_000:
+        at += draw.choice([0, 1, 3, 40, 255, 256, 900])
+        size = draw.choice([1, 2, 9, 100, 255, 256, 257, 5000])
+        bounds.append((at, at + size - 1))
+        at += size
+    asked = sorted({draw.randrange(60_000, 410_000) for _ in range(3000)} | {b + d for pair in bounds for b in pair for d in (-1, 0, 1)})
+    addresses = spark.createDataFrame([(a,) for a in asked], "address bigint")
+    found = locate_addresses(addresses, ranges_of(spark, bounds))
+    starts = sorted((lo, hi, i) for i, (lo, hi) in enumerate(bounds))
+    want = []
+    for a in asked:
+        k = bisect.bisect_right(starts, (a, float("inf"))) - 1
+        want.append((a, starts[k][2] if k >= 0 and a <= starts[k][1] else None))
+    assert rows(found, "address", "ipBlockIndex") == sorted(want, key=repr)
+
+
+def test_no_task_orders_a_bucket(spark):
+    """A full bucket, every address in twelve months, over many tasks of which none has a tenth of it."""
+    asked = spark.range(65_536).select((F.col("id") + 65_536).alias("address")).crossJoin(spark.range(12).toDF("month"))
+    ranges = ranges_of(spark, [(65_536 + 100 * k, 65_536 + 100 * k + 69) for k in range(655)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = locate_addresses(asked, ranges)
+        assert found.where("City is not null").count() == 12 * (65_536 - 30 * 655 - 36)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        blocks = _last_ranges(asked.select("address").distinct(), ranges)
+        sizes = [r["count"] for r in blocks.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 65_536 and max(sizes) < 6554
+    assert "hashpartitioning(_bucket#" in plan and "_block#" in plan
+
+
+def test_lookup_of_addresses_without_ranges(spark):
+    asked = spark.createDataFrame([(5, "x"), (None, "y")], "address bigint, tag string")
+    assert rows(locate_addresses(asked, ranges_of(spark, [])), "address", "tag", "City") == [(5, "x", None), (None, "y", None)]
+    assert locate_addresses(asked.limit(0), ranges_of(spark, [(1, 9)])).count() == 0
+
+
 def test_lookup_keeps_other_columns_and_repeated_addresses(spark):
     asked = spark.createDataFrame([(5, "x"), (5, "x"), (9, "y")], "address bigint, tag string")
     got = rows(locate_addresses(asked, ranges_of(spark, [(5, 6)])), "address", "tag", "City")
@@ -108,6 +158,30 @@ def test_byte_offsets_across_splits(spark, tmp_path):
     assert at == len(content)
 
 
+@pytest.mark.parametrize("together", [1, 7, 1000, 65_536])
+def test_byte_offsets_of_blocks_and_files(spark, tmp_path, together):
+    """A packed file, which cannot be split, beside a plain one; blocks of any size."""
+    draw = random.Random(together)
+    lines = ["x" * draw.randrange(40) + draw.choice(["", "é", "漢"]) + str(k) for k in range(2500)]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    with gzip.open(tmp_path / "b.csv.gz", "wt", encoding="utf-8") as out:
+        out.write("\n".join(reversed(lines)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        placed = with_line_offsets(spark.read.text(str(tmp_path)), together=together)
+        got = rows(placed)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = []
+    for order in (lines, lines[::-1]):
+        at = 0
+        for line in order:
+            want.append((line, at))
+            at += len(line.encode()) + 1
+    assert got == sorted(want, key=repr)
+
+
 def test_empty_places_are_kept(spark):
     lines = spark.createDataFrame([(LINES[3], 7)], "value string, offset bigint")
     row = parse_ranges(lines).first()
