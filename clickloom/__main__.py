@@ -6,10 +6,22 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from clickloom.functions.referers import FIXED_RULES, RULES
+from clickloom.operators.reload import INDEX_CATEGORIES
 from clickloom.plans import jobs
 from clickloom.sources.raw_clicks import click_paths
 
 
+REFERER_RULES = {"published": RULES, "any-prefix": FIXED_RULES}
+
+
+def _category(text: str) -> tuple[str, str]:
+    masthead, given, category = text.partition("=")
+    if not given:
+        raise argparse.ArgumentTypeError(f"{text!r} is not MASTHEAD=CATEGORY")
+    return masthead, category
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="clickloom", description="Page-view analytics on Spark")
     commands = parser.add_subparsers(dest="job", required=True)
@@ -19,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     raw.add_argument("--month", nargs="+", required=True, help="MM-YYYY, or * for all")
     raw.add_argument("--masthead", nargs="+", required=True)
     raw.add_argument("--output", required=True)
+    raw.add_argument("--parse-partitions", type=int, help="tasks that parse lines, 0 for those that read them")
 
     etl = commands.add_parser("sessionise", parents=[raw], help="raw clicks to sessionised clicks")
     etl.add_argument("--week", type=int, required=True)
@@ -28,6 +41,12 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--json", action="store_true", help="gzip JSON lines instead of parquet")
     etl.add_argument("--files", type=int, help="number of JSON files")
     etl.add_argument("--salt", default="", help="changes which views count as reloads")
+    etl.add_argument(
+        "--index-category", nargs="+", type=_category, metavar="MASTHEAD=CATEGORY",
+        help="homepages that reload, in place of the built-in ones",
+    )
+    etl.add_argument("--referer-rules", choices=sorted(REFERER_RULES), default="published")
+    etl.add_argument("--preview", type=int, default=0, help="print so many of the rows written")
 
     forecast = commands.add_parser("forecast", parents=[raw], help="monthly metrics by device")
     forecast.add_argument("--ip-file", required=True)
@@ -69,11 +88,13 @@ def main(argv: list[str] | None = None) -> None:
             jobs.sessionise_files(
                 spark, paths, args.output, args.week, args.year, not args.separate,
                 args.quarantine, args.json, args.files, args.salt,
+                dict(args.index_category or INDEX_CATEGORIES), REFERER_RULES[args.referer_rules],
+                args.parse_partitions, args.preview,
             )
         else:
             jobs.forecast_report(
                 spark, paths, args.ip_file, "+".join(args.masthead), args.output,
-                args.country, args.default_ip, args.ip_column,
+                args.country, args.default_ip, args.ip_column, args.parse_partitions,
             )
         return
     clicks = jobs.read_sessionised(spark, args.input, args.json, args.masthead, args.week, args.year)

@@ -79,8 +79,13 @@ def section_dwell(sessionised: DataFrame, masthead: str, **options) -> DataFrame
     )
 
 
-def top_articles_by_dwell(sessionised: DataFrame, masthead: str, k: int = 10, **options) -> DataFrame:
-    """The ``k`` (day, title) pairs read longest, with every url the title had that day."""
+def top_articles_by_dwell(
+    sessionised: DataFrame, masthead: str, k: int = 10, urls: int | None = 10, **options
+) -> DataFrame:
+    """The ``k`` (day, title) pairs read longest, each with its ``urls`` most viewed urls of that day.
+
+    With ``urls`` None every url comes out, one row each: a missing title may have thousands.
+    """
     titled = sessionised.withColumn("title", hashed_title(F.col("title")))
     best = (
         dwell_by(titled, "title", **options)
@@ -89,5 +94,9 @@ def top_articles_by_dwell(sessionised: DataFrame, masthead: str, k: int = 10, **
     )
     pages = content_views(sessionised, ARTICLE, tz=options.get("tz", SYDNEY))
     # ``best`` has at most k rows, each with at least one page of that day.
-    joined = pages.join(F.broadcast(best), ["day", "title"]).select(*ARTICLE, "dwellMs").distinct()
-    return labelled(joined, "Duration_Article", masthead, *ARTICLE, F.col("dwellMs").alias("value"))
+    joined = pages.join(F.broadcast(best), ["day", "title"])
+    # Views are added up by url, so a title of many urls is spread over tasks, each of which passes on few.
+    viewed = joined.groupBy(*ARTICLE, "dwellMs").agg(F.count("*").alias("_views"))
+    if urls is not None:
+        viewed = top_per_group(viewed, ["day", "title"], "_views", ["url"], urls)
+    return labelled(viewed, "Duration_Article", masthead, *ARTICLE, F.col("dwellMs").alias("value"))

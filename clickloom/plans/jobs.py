@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions.referers import RULES
 from clickloom.operators.paths import brand_paths
+from clickloom.operators.reload import INDEX_CATEGORIES
 from clickloom.operators.sessions import session_heads
 from clickloom.plans import content, etl, forecast, segments, visitors
 from clickloom.sources import ip_ranges, raw_clicks, sessionised
-from clickloom.sources.metrics import write_metrics
+from clickloom.sources.metrics import preview, write_metrics
 from clickloom.staging import stage
 
 
@@ -30,14 +32,18 @@ def sessionise_files(
     as_json: bool = False,
     files: int | None = None,
     salt: str = "",
+    categories: Mapping[str, str] = INDEX_CATEGORIES,
+    rules: Sequence[tuple[str, str]] = RULES,
+    partitions: int | None = None,
+    show: int = 0,
 ) -> None:
-    """Raw click files to one week of sessionised clicks.
+    """Raw click files to one week of sessionised clicks, of which the first ``show`` are printed.
 
     Lines are parsed once and staged, as the reload flags, the sessions and the
     clicks themselves each read them: clicks of the week without their text, and
     lines that are no click as text, if wanted.
     """
-    parsed = raw_clicks.read_clicks(spark, paths)
+    parsed = raw_clicks.read_clicks(spark, paths, partitions)
     bad = F.col("reason").isNotNull()
     wanted = etl.is_in_week(week, year)
     parsed = parsed.where(wanted if quarantine is None else bad | wanted)
@@ -46,11 +52,14 @@ def sessionise_files(
         lines = raw_clicks.quarantined(parsed).write.mode("overwrite")
         lines.option("compression", "gzip").json(quarantine)
     clicks = raw_clicks.parsed_clicks(parsed)
-    done = etl.sessionised_clicks(clicks, across_sites=across_sites, salt=salt)
+    done = etl.sessionised_clicks(clicks, categories, across_sites, rules, salt)
     if as_json:
         sessionised.write_json(done, output, files)
     else:
         sessionised.write_parquet(done, output)
+    if show:
+        read = sessionised.read_json if as_json else sessionised.read_parquet
+        preview(read(spark, output, week=week, year=year), show)
 
 
 def read_sessionised(
@@ -108,7 +117,8 @@ def segment_reports(clicks: DataFrame, output: str) -> None:
     path = f"{output}/visitor_segments"
     found.write.mode("overwrite").parquet(path)
     found = clicks.sparkSession.read.parquet(path)
-    write_metrics(segments.segment_trend(heads, found), f"{output}/repeat_trend", "gzip")
+    trend = segments.segment_trend(heads, found).withColumn("date", F.col("date").cast("string"))
+    write_metrics(trend, f"{output}/repeat_trend", "gzip")
 
 
 def forecast_report(
@@ -120,8 +130,9 @@ def forecast_report(
     country: str = "AU",
     default_ip: str | None = None,
     ip_col: str = "IpAddress",
+    partitions: int | None = None,
 ) -> None:
-    clicks = raw_clicks.parsed_clicks(raw_clicks.read_clicks(spark, paths))
+    clicks = raw_clicks.parsed_clicks(raw_clicks.read_clicks(spark, paths, partitions))
     clicks = stage(clicks.select(*FORECAST_COLUMNS, ip_col), "forecast")
     rows = forecast.monthly_metrics(
         forecast.device_sessions(clicks, ip_col),

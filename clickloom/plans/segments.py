@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.timekeys import SYDNEY, day_of_month, is_weekend
+from clickloom.functions.timekeys import SYDNEY, is_weekend, local_date
 from clickloom.operators.ranking import top_per_group
 
 UNFLAGGED = "UNFLAGGED"
@@ -27,7 +27,7 @@ def visitor_features(heads: DataFrame, tz: str = SYDNEY) -> DataFrame:
     at = F.col("timestamp")
     visits = heads.select(
         "trackingId",
-        day_of_month(at, tz).alias("day"),
+        local_date(at, tz).alias("date"),
         is_weekend(at, tz).alias("weekend"),
         visit_depth(F.col("numPage")).alias("depth"),
         (F.coalesce("assetType", F.lit("")) == "Index").alias("index"),
@@ -41,7 +41,7 @@ def visitor_features(heads: DataFrame, tz: str = SYDNEY) -> DataFrame:
         F.count_if(single).alias("singleSessions"),
         F.count_if(F.col("depth") == "2-4 PAGES").alias("middleSessions"),
         F.count_if(F.col("depth") == ">4 PAGES").alias("deepSessions"),
-        F.count_distinct("day").alias("activeDays"),
+        F.count_distinct("date").alias("activeDays"),
     )
     return features.withColumn(
         "indexSessions", F.coalesce(F.nullif("indexSessions", F.lit(0)), F.lit(-1).cast("bigint"))
@@ -131,11 +131,12 @@ def flag_heads(heads: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def segment_trend(heads: DataFrame, segments: DataFrame, tz: str = SYDNEY) -> DataFrame:
-    """Distinct visitors per segment and day."""
-    days = heads.select(
-        "trackingId", day_of_month(F.col("timestamp"), tz).alias("day")
-    ).distinct()
-    # Visitors are distinct within a day already, so counting rows is enough.
-    return flag_heads(days, segments).groupBy("repeatFlag", "day").agg(
-        F.count("*").alias("visitors")
+    """Distinct visitors per segment and local date, with the date's day of month."""
+    dates = heads.select("trackingId", local_date(F.col("timestamp"), tz).alias("date")).distinct()
+    # Visitors are distinct within a date already, so counting rows is enough.
+    return (
+        flag_heads(dates, segments)
+        .groupBy("repeatFlag", "date")
+        .agg(F.count("*").alias("visitors"))
+        .select("repeatFlag", "date", F.dayofmonth("date").alias("day"), "visitors")
     )

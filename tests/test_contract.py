@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from clickloom.plans.segments import UNFLAGGED, segment_rules
 from harness.compare import rows_of
 from harness.oracles import ORACLES
 from harness.queries import QUERIES
@@ -42,3 +43,10 @@ def test_query_equals_sql(spark, db, name):
     columns = [column[0] for column in want.description]
     assert sorted(got.columns) == sorted(columns)
     assert rows_of(got.columns, got.collect()) == rows_of(columns, want.fetchall())
+
+
+def test_every_segment_occurs(spark):
+    """The fixture has all outcomes of the rules, and visitors who clear cookies and who do not."""
+    found = QUERIES["segments_of_every_kind"](spark, SF_DIR).select("segment", "cookieClearer").distinct().collect()
+    assert {row.segment for row in found} == {name for _, name in segment_rules()} | {UNFLAGGED}
+    assert {row.cookieClearer for row in found} == {0, 1}

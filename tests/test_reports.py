@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from datetime import date
 
 import brute
 from brute import rows
@@ -128,6 +129,28 @@ def test_top_dwell_lists_every_url_of_a_title(spark):
     assert got == [(4, "one#x", "u1", 60), (4, "one#x", "u2", 60)]
 
 
+def test_top_dwell_of_a_title_with_thousands_of_urls(spark):
+    """Untitled pages: their best urls only, unless all are asked for."""
+    items = [(MIDNIGHT, "s", MIDNIGHT + 10 * k, "c", "smh", None, f"u{k:04d}") for k in range(3000)]
+    items += [(MIDNIGHT, "s", MIDNIGHT + 30_000 + 10 * k, "c", "smh", None, f"u{k:04d}") for k in range(5, 9)]
+    views = views_of(spark, items)
+    few = content.top_articles_by_dwell(views, "m", urls=6)
+    assert [u for u, in rows(few, "url")] == ["u0000", "u0001", "u0005", "u0006", "u0007", "u0008"]
+    assert "WindowGroupLimit" in few._jdf.queryExecution().executedPlan().toString()
+    assert content.top_articles_by_dwell(views, "m").count() == 10
+    assert content.top_articles_by_dwell(views, "m", urls=None).count() == 3000
+
+
+def test_active_days_are_dates(spark):
+    """The fifth of January and the fifth of February are two days."""
+    january = MIDNIGHT + 62 * DAY_MS
+    items = [("v", january, 1, 0), ("v", january + 31 * DAY_MS, 1, 0), ("v", january + 3_600_000, 1, 0)]
+    features = segments.visitor_features(heads_of(spark, items))
+    assert rows(features, "activeDays") == [(2,)]
+    trend = segments.segment_trend(heads_of(spark, items), segments.visitor_segments(features, features.select("trackingId").limit(0)))
+    assert rows(trend, "date", "day", "visitors") == [(date(2015, 1, 5), 5, 1), (date(2015, 2, 5), 5, 1)]
+
+
 HEADS = "trackingId string, timestamp bigint, numPage bigint, sessionDuration bigint, assetType string"
 
 
@@ -224,6 +247,6 @@ def test_segment_rules_in_order(spark):
         (MIDNIGHT, "EVENT READERS"), (MIDNIGHT, "UNFLAGGED"), (MIDNIGHT + 1, "EVENT READERS"),
     ]
     assert rows(segments.segment_trend(heads, got)) == [
-        ("EVENT READERS", 4, 1), ("UNFLAGGED", 4, 1),
+        ("EVENT READERS", date(2014, 11, 4), 4, 1), ("UNFLAGGED", date(2014, 11, 4), 4, 1),
     ]
     assert got.where(F.col("cookieClearer")).count() == 1

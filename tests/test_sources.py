@@ -14,7 +14,7 @@ from clickloom.operators.sessions import sessionise
 from clickloom.plans import jobs
 from clickloom.sources import raw_clicks as raw
 from clickloom.sources import sessionised
-from clickloom.sources.metrics import write_metrics
+from clickloom.sources.metrics import read_metrics, write_metrics
 from clickloom.staging import new_path, shared_folder, stage
 
 
@@ -90,6 +90,18 @@ def test_bad_lines_are_quarantined(spark):
         '{"timestamp":7,"extras":[{"name":"trackingId","value":"x"}]}': raw.NO_TRACKING_ID,
         '{"trackingId":"t"}': raw.BAD_TIMESTAMP,
         '{"trackingId":"t","timestamp":"soon"}': raw.BAD_TIMESTAMP,
+        good + " more": raw.TRAILING_TEXT,
+        good + good: raw.TRAILING_TEXT,
+        good + "," + good: raw.TRAILING_TEXT,
+        good + "}": raw.TRAILING_TEXT,
+        good + "]": raw.TRAILING_TEXT,
+        good + '] "x"': raw.TRAILING_TEXT,
+        good + ',"x"': raw.TRAILING_TEXT,
+        '{"trackingId":"t","timestamp":7,"extras":"none"}': raw.BAD_EXTRAS,
+        '{"trackingId":"t","timestamp":7,"extras":3}': raw.BAD_EXTRAS,
+        '{"trackingId":"t","timestamp":7,"extras":{"name":"a","value":"b"}}': raw.BAD_EXTRAS,
+        '{"trackingId":"t","timestamp":7,"extras":[1,2]}': raw.BAD_EXTRAS,
+        '{"trackingId":"t","timestamp":7,"extras":["a"]}': raw.BAD_EXTRAS,
     }
     zero = '{"trackingId":"%s","timestamp":7}' % raw.ZERO_GUID
     lines = lines_of(spark, [good, zero, *bad])
@@ -97,6 +109,8 @@ def test_bad_lines_are_quarantined(spark):
     assert {tuple(row) for row in raw.quarantined(parsed).collect()} == set(bad.items())
     clicks = raw.parsed_clicks(parsed)
     assert rows(clicks, "trackingId", "timestamp") == [(md5("t"), 7)]
+    fine = [f"  {good} \t", '{"trackingId":"t","timestamp":7,"extras":[]}', '{"trackingId":"t","timestamp":7,"extras":null}']
+    assert raw.parsed_clicks(raw.parse_lines(lines_of(spark, fine))).count() == 3
     assert set(clicks.columns) == {"timestamp", *TEXT_FIELDS, "extras"}
 
 
@@ -104,7 +118,9 @@ def test_filters_do_not_parse_lines_twice(spark):
     lines = lines_of(spark, ['{"trackingId":"t","timestamp":7}'])
     clicks = raw.parsed_clicks(raw.parse_lines(lines)).where(F.col("timestamp") > 1)
     plan = clicks._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("map<string,string>") + plan.count("MapType(StringType,StringType") <= 1
+    # once as a list, and once more for the reason of those that are none
+    assert plan.count("ArrayType(MapType(StringType,StringType") == 1
+    assert plan.count("MapType(StringType,StringType") <= 2
 
 
 def click(visitor, at, site, category="News", kind="Article", ip="1.0.0.1", **more):
@@ -146,6 +162,39 @@ def test_file_names_give_masthead_and_device(spark, click_files):
     assert rows(got) == [("smh", "desktop", 3), ("smh", "mobile", 1), ("theage", "desktop", 2)]
 
 
+def test_a_masthead_without_files_stops_nothing(spark, click_files):
+    paths = raw.click_paths(str(click_files), ["10-2014", "11-2014"], ["smh", "nowhere", "drive"])
+    got = raw.read_click_lines(spark, paths).groupBy("masthead", "device").count()
+    assert rows(got) == [("drive", "desktop", 1), ("smh", "desktop", 3), ("smh", "mobile", 1)]
+    assert raw.read_click_lines(spark, raw.click_paths(str(click_files), ["*"], ["smh"])).count() == 5
+
+
+def test_folders_of_parts_are_read_like_files(spark, tmp_path):
+    root = tmp_path / "page-views"
+    for name in ("11-2014-smh-m-view", "11-2014-theage-view"):
+        spark.range(7).selectExpr("cast(id as string)").write.option("compression", "gzip").text(str(root / name))
+    got = raw.read_click_lines(spark, raw.click_paths(str(root), ["11-2014"], ["smh", "theage"]))
+    assert rows(got.groupBy("masthead", "device").count()) == [("smh", "mobile", 7), ("theage", "desktop", 7)]
+
+
+def test_lines_of_one_file_are_parsed_in_many_tasks(spark, tmp_path):
+    path = tmp_path / "11-2014-smh-view-1.gz"
+    with gzip.open(path, "wt") as out:
+        out.write((click("a", WEEK_45, "smh") + "\n") * 4000)
+    lines = raw.read_click_lines(spark, str(path))
+    assert lines.rdd.getNumPartitions() == 1
+    spread = raw.spread_lines(lines, 8)
+    sizes = [n for n, in spread.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)  # though all lines are equal
+    of = F.struct(F.spark_partition_id(), "value")
+    once, again = (spread.groupBy(of).count().collect() for _ in range(2))
+    assert sorted(once) == sorted(again)
+    assert raw.read_clicks(spark, str(path), 5).select(F.spark_partition_id()).distinct().count() == 5
+    assert raw.read_clicks(spark, str(path), 0).rdd.getNumPartitions() == 1
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert raw.read_clicks(spark, str(path)).select(F.spark_partition_id()).distinct().count() == default
+
+
 def sample(spark):
     clicks = spark.createDataFrame(
         [("a", WEEK_45, "smh", "smh", "x", {"k": "v"}), ("b", WEEK_45 + 7 * 86_400_000, "theage", "theage", None, {"title": "no", "brace}": "{,}", "none": None})],
@@ -182,12 +231,25 @@ def test_parquet_folders_are_pruned(spark, tmp_path):
     assert sessionised.read_parquet(spark, path).count() == 2
 
 
-def test_metrics_are_one_file(spark, tmp_path):
+def test_metrics_are_cut_by_rows_and_read_back(spark, tmp_path):
     path = tmp_path / "metrics"
-    df = spark.range(100).select(F.array(F.lit("a"), F.lit("b")).alias("path"), F.col("id").alias("value"))
-    write_metrics(df, str(path))
-    parts = list(path.glob("part-*"))
-    assert len(parts) == 1 and parts[0].read_text().startswith("path,value\na>b,")
+    df = spark.range(100, numPartitions=1).select(
+        F.array(F.lit("a"), F.lit("b, \"c\"")).alias("path"),
+        F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, 'x,"y"').alias("site"),
+        (F.col("id") / 7).alias("value"),
+    )
+    for rows_a_file, files in ((1000, 1), (30, 4)):
+        write_metrics(df, str(path), rows_a_file=rows_a_file)
+        parts = list(path.glob("part-*"))
+        assert len(parts) == files and all(p.read_text().startswith("path,site,value\n") for p in parts)
+        back = read_metrics(spark, str(path), df.schema)
+        assert back.schema.simpleString() == df.schema.simpleString() and rows(back) == rows(df), rows_a_file
+
+
+def test_a_small_report_is_one_file(spark, tmp_path):
+    report = spark.range(5000).groupBy((F.col("id") % 9).alias("k")).agg(F.count("*").alias("value"))
+    write_metrics(report, str(tmp_path / "report"))
+    assert len(list((tmp_path / "report").glob("part-*"))) == 1
 
 
 def test_stage_uses_the_shared_folder(spark):
@@ -290,3 +352,24 @@ def test_week_with_year_can_skip_files(spark, tmp_path):
     plan = in_week(clicks, 45, 2014)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(timestamp" in plan
     assert rows(in_week(clicks, 45, 2014)) == rows(in_week(clicks, 45))
+
+
+def test_options_of_the_sessionise_job(spark, click_files, tmp_path, capsys):
+    at = WEEK_45
+    views = [click("r", at + k * 300_000, "drive", "Drive Home", "Index", referer="http://www.bing.com/x") for k in range(200)]
+    with gzip.open(click_files / "11-2014-drive-view-2.gz", "wt") as out:
+        out.write("\n".join(views) + "\n")
+    counts = {}
+    for name, more in {"plain": [], "options": ["--index-category", "drive=Drive Home", "--referer-rules", "any-prefix", "--preview", "3"]}.items():
+        out = str(tmp_path / name)
+        main(["sessionise", "--root", str(click_files), "--month", "11-2014", "--masthead", "drive", "--week", "45",
+              "--output", out, "--parse-partitions", "3", *more])
+        done = sessionised.read_parquet(spark, out)
+        counts[name] = (done.count(), done.where("finalReferer = 'BING'").count())
+    assert counts["plain"] == (201, 0)
+    assert 0 < counts["options"][0] < 120 and counts["options"][1] == counts["options"][0] - 1
+    shown = capsys.readouterr().out
+    assert shown.count("BING") + shown.count("DIRECT") == 3
+    with pytest.raises(SystemExit):
+        main(["sessionise", "--root", "r", "--month", "m", "--masthead", "x", "--week", "1", "--output", "o",
+              "--index-category", "nothing"])
