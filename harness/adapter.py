@@ -135,6 +135,12 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"}]}'),
     )
     cut = F.substring(line, F.lit(1), F.length(line) - 5)
+    line = (
+        F.when((value >= 46) & (value < 47), F.concat(line, F.lit(" tail")))
+        .when((value >= 47) & (value < 48), F.concat(line, F.lit(","), line))
+        .when((value >= 48) & (value < 50), F.regexp_replace(line, r'"extras":\[\{.*\}\]', '"extras":{"name":"title"}'))
+        .otherwise(line)
+    )
     # As with lines read from a file, filters on them do not build them again.
     return rows.select(
         F.explode(F.array(F.when(value >= 200, cut).otherwise(line))).alias("value"),
@@ -163,6 +169,76 @@ def nation_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unaligned_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short address range per customer, some six hundred to a bucket, with gaps, on no power of two."""
+    lo = F.lit(16777216 + 31).cast("bigint") + F.col("c_custkey") * 100 + F.col("c_custkey") % 7
+    hi = lo + 50 + F.col("c_custkey") % 44
+    return table(spark, sf_dir, "customer").select(
+        lo.alias("lo"),
+        hi.alias("hi"),
+        F.col("c_mktsegment").alias("Country"),
+        F.col("c_nationkey").cast("string").alias("Region"),
+        F.col("c_name").alias("City"),
+        F.concat_ws(" - ", _dotted(lo), _dotted(hi)).alias("ipBlock"),
+        F.col("c_custkey").cast("bigint").alias("ipBlockIndex"),
+    )
+
+
+def events_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with an address among, or beside, ``unaligned_ranges``."""
+    number = F.lit(16777216).cast("bigint") + (F.col("event_id") * 7919) % 200_000
+    return table(spark, sf_dir, "events").select("event_id", _dotted(number).alias("IpAddress"))
+
+
+def write_click_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The raw lines as packed files under ``root``, in a folder named by month, masthead and device for each."""
+    mobile = F.when(F.col("device") == "mobile", "-m").otherwise("")
+    name = F.concat(F.lit("01-2024-"), F.col("masthead"), mobile, F.lit("-view"))
+    lines = raw_lines(spark, sf_dir).select("value", name.alias("file"))
+    # One file for each name, as the logs come: nothing can split it.
+    lines.repartition("file").write.partitionBy("file").option("compression", "gzip").text(root)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.listStatus(folder):
+        given = found.getPath().getName()
+        if given.startswith("file="):
+            files.rename(found.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, given.removeprefix("file=")))
+
+
+#: 8 January 2024, a Monday, 00:00 in Sydney.
+MONDAY_MS = 1_704_632_400_000
+#: Views to a group of visitors, and kinds of groups.
+GROUP, KINDS = 36, 10
+
+
+def visitors_of_every_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a click of visitors who behave by turns in each way the segments tell apart.
+
+    36 events in a row are a group, and a group is one visitor (three who share a member id, in
+    kind 4).  A kind's views are cut into visits of equal length on given days.
+    """
+    group, nth = F.expr(f"event_id div {GROUP}"), F.col("event_id") % GROUP
+    kind = group % KINDS
+    shared = kind == 4
+
+    def by_kind(values: list[Column | int]) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("bigint") if isinstance(v, int) else v.cast("bigint") for v in values]), kind.cast("int"))
+
+    pages = by_kind([5, 9, 1, 36, 12, 18, 18, 3, 5, 18])
+    visit = F.least(F.call_function("div", nth, pages), F.when(kind.isin(0, 8), 6).otherwise(99))
+    page = nth - visit * pages
+    day = by_kind([visit, visit + 4, visit % 12, F.lit(1), F.lit(1), visit + 5, visit + 1, visit % 2 * 2 + 5, visit % 2 * 2 + 5, visit * 2 + 5])
+    visitor = F.concat(F.lit("v"), group.cast("string"), F.when(shared, F.concat(F.lit("-"), visit.cast("string"))).otherwise(""))
+    return table(spark, sf_dir, "events").select(
+        visitor.alias("trackingId"),
+        (F.lit(MONDAY_MS) + day * 86_400_000 + visit * 2_400_000 + page * 20_000).alias("timestamp"),
+        F.when(kind == 2, "Index").otherwise("Article").alias("assetType"),
+        F.when(shared, F.concat(F.lit("m"), group.cast("string"))).otherwise("0").alias("memberId"),
+        F.concat(F.lit("ip of "), visitor).alias("IpAddress"),
+        F.lit("UA").alias("userAgent"),
+    )
+
+
 def customer_range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An IPv4 and an IPv6 line per customer, as in an IP-to-city file."""
     customers = table(spark, sf_dir, "customer")

@@ -5,7 +5,7 @@ Sydney is UTC+11 throughout the tables' month, so local time is an addition.
 
 from __future__ import annotations
 
-from harness.adapter import REFERERS
+from harness.adapter import GROUP, KINDS, MONDAY_MS, REFERERS
 
 _referer_list = ", ".join(f"'{text}'" for text in REFERERS)
 _ZERO = "00000000-0000-0000-0000-000000000000"
@@ -209,19 +209,24 @@ raw AS (
       WHEN 'purchase' THEN chr(19) WHEN 'click' THEN 'q' ELSE '' END AS meaning,
     CASE WHEN value >= 200 THEN 'unparseable'
       WHEN value >= 42 AND value < 44 THEN 'missing trackingId'
-      WHEN value >= 44 AND value < 46 THEN 'bad timestamp' END AS reason
+      WHEN value >= 44 AND value < 46 THEN 'bad timestamp'
+      WHEN value >= 46 AND value < 48 THEN 'text after the object'
+      WHEN value >= 48 AND value < 50 THEN 'malformed extras' END AS reason
   FROM events_c WHERE NOT (value >= 40 AND value < 42)),
-raw_lines AS (
-  SELECT reason, '{{"timestamp":'
+whole_lines AS (
+  SELECT reason, value, '{{"timestamp":'
     || CASE WHEN reason = 'bad timestamp' THEN '"n/a"' ELSE CAST(timestamp AS VARCHAR) END || ','
     || CASE WHEN reason = 'missing trackingId' THEN '' ELSE '"trackingId":"' || visitor || '",' END
     || '"site":"' || site || '","assetType":"' || "assetType" || '","assetCategory":"'
     || "assetCategory" || '","referer":"' || referer || '","IpAddress":"' || "IpAddress"
     || '","memberId":"' || "memberId" || '","userAgent":"' || "userAgent"
-    || '","title":"shadowed","extras":[{{"name":"title","value":"' || escape || title
-    || '"}},{{"name":"url","value":"' || url || '"}},{{"name":"slot","value":"' || (event_id % 5)
-    || '"}}]}}' AS line
+    || '","title":"shadowed","extras":' || CASE WHEN reason = 'malformed extras' THEN '{{"name":"title"}}'
+      ELSE '[{{"name":"title","value":"' || escape || title || '"}},{{"name":"url","value":"' || url
+        || '"}},{{"name":"slot","value":"' || (event_id % 5) || '"}}]' END || '}}' AS line
   FROM raw),
+raw_lines AS (
+  SELECT reason, CASE WHEN reason <> 'text after the object' THEN line
+    WHEN value < 47 THEN line || ' tail' ELSE line || ',' || line END AS line FROM whole_lines),
 raw_clicks AS (
   SELECT "trackingId", timestamp, local_ts, CAST(day(local_ts) AS INTEGER) AS day,
     CAST(week(local_ts) AS INTEGER) AS week, site, masthead, device, "assetType",
@@ -274,7 +279,7 @@ features AS (
     count(*) FILTER ("numPage" = 1) AS "singleSessions",
     count(*) FILTER ("numPage" BETWEEN 2 AND 4) AS "middleSessions",
     count(*) FILTER ("numPage" > 4) AS "deepSessions",
-    count(DISTINCT day) AS "activeDays"
+    count(DISTINCT CAST(local_ts AS DATE)) AS "activeDays"
   FROM heads GROUP BY "trackingId")"""
 _CLEARERS = """
 member_pairs AS (
@@ -311,6 +316,39 @@ segments AS (
     ELSE 'UNFLAGGED' END AS segment
   FROM shares)"""
 
+
+def _dotted(number: str) -> str:
+    return f"""({number} // 16777216) || '.' || ({number} // 65536 % 256) || '.' || ({number} // 256 % 256) || '.' || ({number} % 256)"""
+
+
+_UNALIGNED = f"""
+short_ranges AS (
+  SELECT *, 16777216 + 31 + CAST(c_custkey AS BIGINT) * 100 + c_custkey % 7 AS lo,
+    16777216 + 31 + CAST(c_custkey AS BIGINT) * 100 + c_custkey % 7 + 50 + c_custkey % 44 AS hi FROM customer),
+unaligned AS (
+  SELECT lo, hi, c_mktsegment AS "Country", CAST(c_nationkey AS VARCHAR) AS "Region", c_name AS "City",
+    {_dotted("lo")} || ' - ' || {_dotted("hi")} AS "ipBlock", CAST(c_custkey AS BIGINT) AS "ipBlockIndex" FROM short_ranges)"""
+
+# Visitors who behave in every way that the segments tell apart.
+_KIND_CLICKS = f"""
+grouped AS (
+  SELECT event_id // {GROUP} AS g, event_id % {GROUP} AS n, event_id // {GROUP} % {KINDS} AS kind FROM events),
+paged AS (SELECT *, list_extract([5, 9, 1, 36, 12, 18, 18, 3, 5, 18], CAST(kind AS INTEGER) + 1) AS pages FROM grouped),
+visited AS (SELECT *, least(n // pages, CASE WHEN kind IN (0, 8) THEN 6 ELSE 99 END) AS visit FROM paged),
+dated AS (
+  SELECT *, n - visit * pages AS page, CASE kind WHEN 0 THEN visit WHEN 1 THEN visit + 4 WHEN 2 THEN visit % 12
+    WHEN 5 THEN visit + 5 WHEN 6 THEN visit + 1 WHEN 7 THEN visit % 2 * 2 + 5 WHEN 8 THEN visit % 2 * 2 + 5
+    WHEN 9 THEN visit * 2 + 5 ELSE 1 END AS on_day FROM visited),
+timed AS (
+  SELECT *, 'v' || g || CASE WHEN kind = 4 THEN '-' || visit ELSE '' END AS "trackingId",
+    {MONDAY_MS} + on_day * 86400000 + visit * 2400000 + page * 20000 AS timestamp FROM dated),
+clicks AS (
+  SELECT "trackingId", timestamp, {_local} AS local_ts, CAST(day({_local}) AS INTEGER) AS day,
+    CASE WHEN kind = 2 THEN 'Index' ELSE 'Article' END AS "assetType",
+    CASE WHEN kind = 4 THEN 'm' || g ELSE '0' END AS "memberId",
+    'ip of ' || "trackingId" AS "IpAddress", 'UA' AS "userAgent" FROM timed)"""
+_KIND_SEGMENTS = _SEGMENTS.replace(_CLICKS, _KIND_CLICKS)
+
 ORACLES: dict[str, str] = {
     "time_keys": f"""WITH {_CLICKS}
       SELECT "trackingId", timestamp, strftime(local_ts, '%Y-%m-%d %H:%M:%S') AS local_time, week,
@@ -416,6 +454,33 @@ ORACLES: dict[str, str] = {
       SELECT "trackingId", timestamp, "sessionId", segment AS "repeatFlag"
       FROM heads JOIN segments USING ("trackingId")""",
     "segment_trend": f"""WITH {_SEGMENTS}
-      SELECT segment AS "repeatFlag", day, count(DISTINCT "trackingId") AS visitors
+      SELECT segment AS "repeatFlag", CAST(CAST(local_ts AS DATE) AS VARCHAR) AS date, day,
+        count(DISTINCT "trackingId") AS visitors
+      FROM heads JOIN segments USING ("trackingId") GROUP BY ALL""",
+    "segments_of_every_kind": f"""WITH {_KIND_SEGMENTS} SELECT * FROM segments""",
+    "trend_of_every_kind": f"""WITH {_KIND_SEGMENTS}
+      SELECT segment AS "repeatFlag", CAST(CAST(local_ts AS DATE) AS VARCHAR) AS date, day,
+        count(DISTINCT "trackingId") AS visitors
       FROM heads JOIN segments USING ("trackingId") GROUP BY ALL""",
+    "ip_lookup_unaligned": f"""WITH {_UNALIGNED}
+      SELECT event_id, "IpAddress", "Country", "Region", "City", "ipBlock", "ipBlockIndex"
+      FROM (SELECT event_id, 16777216 + (event_id * 7919) % 200000 AS address,
+          {_dotted("(16777216 + (event_id * 7919) % 200000)")} AS "IpAddress" FROM events)
+      LEFT JOIN unaligned ON address BETWEEN lo AND hi""",
+    "ip_file_offsets": """WITH nets AS (
+        SELECT *, 16777216 + CAST(c_custkey AS BIGINT) * 256 AS lo FROM customer),
+      places AS (SELECT *, (lo // 16777216) || '.' || (lo // 65536 % 256) || '.' || (lo // 256 % 256) || '.' AS net,
+        '","' || c_mktsegment || '","Region ' || c_nationkey || '","' || c_name || ', City"' AS place FROM nets),
+      lines AS (
+        SELECT c_custkey, 0 AS nth, '"' || net || '0","' || net || '255' || place AS line, net FROM places
+        UNION ALL SELECT c_custkey, 1, '"2001:db8::1","2001:db8::ff' || place, net FROM places),
+      placed AS (SELECT *, CAST(sum(strlen(line) + 1) OVER (ORDER BY c_custkey, nth) AS BIGINT) - strlen(line) - 1 AS begins FROM lines)
+      SELECT kind AS file, net || '0 - ' || net || '255' AS "ipBlock", begins AS "ipBlockIndex"
+      FROM placed, (VALUES ('packed'), ('plain')) kinds(kind) WHERE nth = 0""",
 }
+# The same lines from files, whole or by name; the same reports from files.
+ORACLES["parse_spread"] = ORACLES["parse_raw"]
+ORACLES["click_files"] = f"""WITH {_RAW}
+  SELECT masthead, device, "trackingId", timestamp, title FROM raw_clicks WHERE masthead IN ('smh', 'theage', 'drive')"""
+ORACLES["metrics_roundtrip"] = ORACLES["visitor_metrics_all"]
+ORACLES["paths_roundtrip"] = ORACLES["brand_path"]

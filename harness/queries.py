@@ -22,6 +22,7 @@ from clickloom.operators.reload import (
 from clickloom.operators.sessions import session_heads, sessionise
 from clickloom.plans import content, etl, forecast, segments, visitors
 from clickloom.sources import ip_ranges, raw_clicks, sessionised
+from clickloom.sources.metrics import read_metrics, write_metrics
 from clickloom.staging import CHECKPOINT_DIR, new_path, stage
 from harness import adapter
 
@@ -68,7 +69,11 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parse_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_clicks.parsed_clicks(_parsed(spark, sf_dir)).select(
+    return _click_columns(raw_clicks.parsed_clicks(_parsed(spark, sf_dir)))
+
+
+def _click_columns(clicks: DataFrame) -> DataFrame:
+    return clicks.select(
         "trackingId", "timestamp", "masthead", "device", "site", "assetType", "assetCategory",
         "title", "url", "referer", "IpAddress", "memberId", "userAgent",
         F.col("extras")["slot"].alias("slot"),
@@ -134,6 +139,62 @@ def _ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip_ranges.parse_ranges(adapter.customer_range_lines(spark, sf_dir))
 
 
+def _ip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hundreds of short ranges to a bucket, at any place, with gaps."""
+    return add_location(adapter.events_in_ranges(spark, sf_dir), adapter.unaligned_ranges(spark, sf_dir))
+
+
+def _ip_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges out of real files, one in many splits and one that cannot be split."""
+    _name_shared_folder(spark)
+    lines = adapter.customer_range_lines(spark, sf_dir)
+    in_order = lines.repartition(1).sortWithinPartitions("offset", F.col("value").contains(":")).select("value")
+    found = []
+    most = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(most)
+    for name, packed in (("packed", "gzip"), ("plain", "none")):
+        path = new_path(spark, "ranges")
+        in_order.write.option("compression", packed).text(path)
+        spark.conf.set(most, "65536")  # planned, and run, with small splits
+        try:
+            ranges = stage(ip_ranges.read_ranges(spark, path), "ranges")
+        finally:
+            spark.conf.set(most, before)
+        found.append(ranges.select(F.lit(name).alias("file"), "ipBlock", "ipBlockIndex"))
+    return found[0].unionByName(found[1])
+
+
+def _click_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of packed files of raw lines, named by month, masthead and device."""
+    _name_shared_folder(spark)
+    root = new_path(spark, "click-files")
+    adapter.write_click_files(spark, sf_dir, root)
+    return root
+
+
+def _parse_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a few packed files, parsed in as many tasks as a shuffle has."""
+    paths = raw_clicks.click_paths(_click_files(spark, sf_dir), ["*"], ["smh", "theage", "drive", "traveller"])
+    return _click_columns(raw_clicks.parsed_clicks(raw_clicks.read_clicks(spark, paths)))
+
+
+def _some_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One masthead left out, another and a month without any file."""
+    mastheads = ["smh", "theage", "drive", "brisbanetimes"]
+    paths = raw_clicks.click_paths(_click_files(spark, sf_dir), ["01-2024", "02-2024"], mastheads)
+    clicks = raw_clicks.parsed_clicks(raw_clicks.read_clicks(spark, paths))
+    return clicks.select("masthead", "device", "trackingId", "timestamp", "title")
+
+
+def _through_files(rows: DataFrame) -> DataFrame:
+    """A report written in files of a few rows, and read back."""
+    spark = rows.sparkSession
+    _name_shared_folder(spark)
+    path = new_path(spark, "metrics")
+    write_metrics(rows, path, rows_a_file=25)
+    return read_metrics(spark, path, rows.schema)
+
+
 def _monthly(metric: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = forecast.monthly_metrics(
@@ -196,9 +257,11 @@ def _raw_to_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visitors.visitor_metrics(session_heads(etl.sessionised_clicks(weekly)), MASTHEAD)
 
 
-def _with_segments(query: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+def _with_segments(
+    query: Callable[[DataFrame, DataFrame], DataFrame], source: Query = adapter.clicks
+) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        clicks = adapter.clicks(spark, sf_dir)
+        clicks = source(spark, sf_dir)
         heads = session_heads(sessionise(clicks))
         found = segments.visitor_segments(
             segments.visitor_features(heads), segments.cookie_clearers(clicks)
@@ -208,6 +271,14 @@ def _with_segments(query: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _segments(heads: DataFrame, found: DataFrame) -> DataFrame:
+    return found.withColumn("cookieClearer", F.col("cookieClearer").cast("int"))
+
+
+def _trend(heads: DataFrame, found: DataFrame) -> DataFrame:
+    return segments.segment_trend(heads, found).withColumn("date", F.col("date").cast("string"))
+
+
 QUERIES: dict[str, Query] = {
     "time_keys": _clicks(_time_keys),
     "week_filter": _clicks(
@@ -274,13 +345,23 @@ QUERIES: dict[str, Query] = {
     "raw_to_visitor_metrics": _raw_to_metrics,
     "visitor_features": _heads(segments.visitor_features),
     "cookie_clearers": _clicks(segments.cookie_clearers),
-    "visitor_segments": _with_segments(
-        lambda heads, found: found.withColumn("cookieClearer", F.col("cookieClearer").cast("int"))
-    ),
+    "visitor_segments": _with_segments(_segments),
+    "segments_of_every_kind": _with_segments(_segments, adapter.visitors_of_every_kind),
+    "trend_of_every_kind": _with_segments(_trend, adapter.visitors_of_every_kind),
     "flagged_heads": _with_segments(
         lambda heads, found: segments.flag_heads(heads, found).select(
             "trackingId", "timestamp", "sessionId", "repeatFlag"
         )
     ),
-    "segment_trend": _with_segments(segments.segment_trend),
+    "segment_trend": _with_segments(_trend),
+    "parse_spread": _parse_spread,
+    "click_files": _some_files,
+    "ip_lookup_unaligned": _ip_lookup,
+    "ip_file_offsets": _ip_offsets,
+    "metrics_roundtrip": _heads(
+        lambda heads: _through_files(visitors.visitor_metrics(heads, MASTHEAD, list(visitors.LABELS)))
+    ),
+    "paths_roundtrip": _sessions(
+        lambda rows: _through_files(brand_paths(rows)).withColumn("path", F.array_join("path", ">"))
+    ),
 }
