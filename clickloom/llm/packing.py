@@ -2,10 +2,10 @@
 
 Only lengths matter for packing and there are at most ``capacity`` of them, so
 the plan is made from their histogram: patterns of lengths, each with the number
-of sequences that follow it.  For the longest length left, the gap beside it is
-looked up among single lengths, sums of two and sums of three that are still
-available; where none completes it, the longest that fits goes in and the gap
-that remains is looked up again.
+of sequences that follow it.  Sums of one, two and three lengths are indexed under
+their counts.  For the longest length left, pieces that fill the gap beside it
+exactly are looked up in the index; where there are none, the longest piece that
+fits goes in and the gap that remains is looked up again.
 Pieces then find their sequence by their rank among pieces of equal length, so
 no piece passes through the driver.
 """
@@ -125,65 +125,87 @@ def pieces(
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, schema)
 
 
-def _completing(left: np.ndarray, gap: int, parts: int, most: int) -> tuple[int, ...] | None:
-    """Lengths of at most ``most``, ``parts`` of them, that are left and sum to ``gap``; longest first."""
-    if parts == 1:
-        return (gap,) if 0 < gap <= most and left[gap] else None
-    if parts == 2:
-        a = np.arange(min(most, gap - 1), (gap - 1) // 2, -1)
-        if not len(a):
-            return None
-        fits = (left[a] > 0) & (left[gap - a] > (2 * a == gap))
-        return (int(a[fits.argmax()]), int(gap - a[fits.argmax()])) if fits.any() else None
-    for a in range(min(most, gap - 2), (gap - 1) // 3, -1):
-        if left[a]:
-            left[a] -= 1
-            rest = _completing(left, gap - a, 2, a)
-            left[a] += 1
-            if rest:
-                return (a, *rest)
-    return None
-
-
-def _plan(counts: dict[int, int], capacity: int, most_parts: int) -> list[tuple[tuple[int, ...], int]]:
+class Sums:
+    """Which of the lengths that are left make up a sum: one of them, two or three.
+
+    Pairs are indexed by their sum, and a triple is a length with a pair of the
+    rest.  What runs out never comes back, so pairs of it are dropped for good when they are met.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.lengths = np.flatnonzero(left)[::-1]
+        self.spent = np.zeros(len(left), dtype=bool)
+        self._pairs: dict[int, list[tuple[int, int]]] = {}
+
+    def take(self, lengths: np.ndarray, n: np.ndarray) -> None:
+        self.left[lengths] -= n
+        self.spent[lengths] = self.left[lengths] == 0
+
+    def _pair(self, total: int) -> tuple[int, int] | None:
+        """The pair with the longest piece that has this sum."""
+        left, spent = self.left, self.spent
+        pairs = self._pairs.get(total)
+        if pairs is None:
+            longer = self.lengths[(2 * self.lengths >= total) & (self.lengths < total)]
+            longer = longer[left[total - longer] > 0]
+            pairs = self._pairs[total] = [(int(a), int(total - a)) for a in longer[::-1]]
+        while pairs and (spent[pairs[-1][0]] or spent[pairs[-1][1]]):
+            pairs.pop()
+        return next(((a, b) for a, b in reversed(pairs) if left[a] and left[b] > (a == b)), None)
+
+    def making(self, total: int) -> tuple[int, ...] | None:
+        """As few pieces as can be, up to three, that are left and have this sum."""
+        left = self.left
+        if left[total]:
+            return (total,)
+        found = self._pair(total)
+        if found:
+            return found
+        for a in self.lengths[(3 * self.lengths >= total) & (self.lengths < total - 1)].tolist():
+            if left[a]:
+                left[a] -= 1
+                found = self._pair(total - a)
+                left[a] += 1
+                if found:
+                    return (a, *found)
+        return None
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of lengths and how many sequences follow each; every piece is placed once.
+
+    From the longest length on: where pieces that are left fill the gap beside it exactly, these go
+    in, in as many sequences as there are pieces for.  Where none do, the longest
+    that fits goes in, and the gap that remains is looked up.
+    """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] += n
+    sums = Sums(left)
     patterns: list[tuple[tuple[int, ...], int]] = []
     for longest in range(capacity, 0, -1):
         while left[longest]:
-            pattern, room, most = [longest], capacity - longest, longest
+            pattern, room = [longest], capacity - longest
             left[longest] -= 1
             while room:
-                exact = (_completing(left, room, n, most) for n in range(1, most_parts + 1))
-                parts = next(filter(None, exact), None)
-                if parts is None:  # nothing completes it: best fit, then look again
-                    fitting = np.flatnonzero(left[1 : min(room, most) + 1])
+                parts = sums.making(room)
+                if parts is None:
+                    fitting = np.flatnonzero(left[1 : room + 1])
                     if not len(fitting):
                         break
                     parts = (int(fitting[-1]) + 1,)
                 pattern += parts
                 np.subtract.at(left, list(parts), 1)
-                room, most = room - sum(parts), parts[-1]
+                room -= sum(parts)
             lengths, needs = np.unique(pattern, return_counts=True)
             left[lengths] += needs
             times = int((left[lengths] // needs).min())
-            left[lengths] -= times * needs
+            sums.take(lengths, times * needs)
             patterns.append((tuple(pattern), times))
     return patterns
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths and how many sequences follow each; every piece is placed once.
-
-    Complements of up to three, two, one or no parts are tried; the plan of fewest sequences wins.
-    """
-    return min(
-        (_plan(counts, capacity, parts) for parts in (3, 2, 1, 0)),
-        key=lambda patterns: sum(times for _, times in patterns),
-    )
-
-
 #: Pieces are ranked within their length in groups; so many pieces of any length to a group number.
 _RANKED_TOGETHER = 10_000
 
