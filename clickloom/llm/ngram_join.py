@@ -201,6 +201,28 @@ def _tile_links(group: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(node, pa.int64()), "v": pa.array(root, pa.int64())})
 
 
+#: Documents of one block and size are ranked in groups; so many documents of any block to a group number.
+RANKED_TOGETHER = 1 << 20
+LEAST_GROUPS = 4
+
+
+def _tiled(sized: DataFrame) -> DataFrame:
+    """``sized`` (rep, root, n, written) with ``tile``: a block's documents in order of size, cut by their shingles.
+
+    Only the counts of groups of equal size are summed in order; a document's place is its rank in its group.
+    """
+    groups = max(LEAST_GROUPS, sized.count() // RANKED_TOGETHER)
+    keyed = sized.withColumn("group", F.pmod(F.xxhash64("rep"), F.lit(groups)))
+    weight = F.col("n") + 256
+    counts = keyed.groupBy("root", "n", "group").agg((F.count("*") * weight).alias("own"))
+    upto = F.sum("own").over(Window.partitionBy("root").orderBy("n", "group"))
+    before = counts.select("root", "n", "group", (upto - F.col("own")).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("root", "n", "group").orderBy("rep")) - 1
+    return keyed.withColumn("rank", rank).join(before, ["root", "n", "group"]).select(
+        "rep", "root", F.floor((F.col("before") + F.col("rank") * weight) / TILE).alias("tile"), "n"
+    )
+
+
 def linked_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` with an id.
 
@@ -294,17 +316,13 @@ def linked_components(docs: DataFrame) -> DataFrame:
     steps = hubs.join(next_class, ["token", "size_class"]).select("hub", "above").distinct()
     blocks = written(components(counted.union(ties).union(steps)), "blocks")
 
-    # tiles: documents of a block in order of size
-    order = Window.partitionBy("root").orderBy("n", "node")
-    tiled = written(
+    sized = written(
         blocks.join(members.select(F.col("doc_id").alias("node"), "n"), "node").select(
-            F.col("node").alias("rep"),
-            "root",
-            F.floor((F.sum(F.col("n") + 256).over(order) - F.col("n") - 256) / TILE).alias("tile"),
-            "n",
+            F.col("node").alias("rep"), "root", "n"
         ),
-        "tiles",
+        "sized",
     )
+    tiled = written(_tiled(sized), "tiles")
     spans = tiled.groupBy("root", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     later = spans.select("root", F.col("tile").alias("other"), F.col("low").alias("other_low"))
     together = (
