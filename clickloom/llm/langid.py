@@ -62,7 +62,7 @@ def _marks() -> str:
 
 
 #: Letters with the marks that go with them.
-_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{_marks()}])*")
+_WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 
 
 def scripts_of(points: np.ndarray) -> np.ndarray:

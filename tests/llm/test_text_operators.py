@@ -378,7 +378,7 @@ def test_pair_terms_are_the_sum_over_pairs():
 def test_toxicity_of_both_or_neither(spark, prose):
     """Neither word says anything alone: only the pair does."""
     rng = random.Random(18)
-    kinds = [(rng.random() < 0.5, rng.random() < 0.5) for _ in range(2400)]
+    kinds = [(rng.random() < 0.5, rng.random() < 0.5) for _ in range(4800)]
     rows = []
     for k, (insult, group) in enumerate(kinds):
         words = prose(rng.randint(0, 10**6), 14).split() + ["grobian"] * insult + ["lowlander"] * group
