@@ -61,7 +61,8 @@ def _marks() -> str:
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(first, last))
 
 
-#: Letters with the marks that go with them.
+#: Letters, and letters with the marks that go with them.
+_LETTERS = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 
 
@@ -73,7 +74,12 @@ def word_lists(texts: pa.Array) -> list[list[str]]:
     """Lower-cased runs of letters of each text, with the marks on them."""
     found = []
     for text in texts.to_pylist():
-        words = _WORD.findall(text.lower()) if text else []
+        text = (text or "").lower()
+        try:
+            text.encode("latin-1")  # holds no marks
+            words = _LETTERS.findall(text)
+        except UnicodeEncodeError:
+            words = _WORD.findall(text)
         found.append([w for w in words if w.isalpha() or any(c.isalpha() for c in w)])
     return found
 
