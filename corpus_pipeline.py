@@ -1,4 +1,7 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Stages but the last return the columns they were given, whatever these are named.
+"""
 
 from __future__ import annotations
 
@@ -17,27 +20,43 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null, empty and short texts go; repeated rows are judged alike and all stay, or go; a null
+    language or source is a group of its own.
+    """
     return keep_good(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents mostly in one language; the model learns from labels among ``docs``."""
+    """Documents mostly in one language; the model learns from labels among ``docs``.
+
+    Texts without a letter go, and all texts if no row has a label; repeated rows are judged alike.
+    """
     return keep_identified(docs, train(training_rows(docs)))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of smallest id."""
+    """One document of each group of near copies, the one of smallest id.
+
+    Rows without an id stay; rows that repeat an id are one document and stay or go together.
+    """
     return one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with repeated passages cut out of their text."""
+    """Documents with repeated passages cut out of their text.
+
+    Every row stays, if need be with an empty text; rows of one id are no copies of each other.
+    """
     return without_repeats(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts' token pieces with their places in sequences of 1024 tokens."""
+    """The texts' token pieces with their places in sequences of 1024 tokens.
+
+    A null or empty text is one piece, its end; repeated rows are packed each; no rows give no pieces.
+    """
     return packed_documents(docs)
 
 
