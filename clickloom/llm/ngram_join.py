@@ -194,6 +194,7 @@ def _tile_links(group: pa.Table) -> pa.Table:
         dense[rows[a:b], column[a:b] - block * width] = 1
         overlap += dense[first] @ dense[second].T
     both = n[first][:, None] + n[second][None, :]
+    overlap = overlap.astype(np.int64)  # whole numbers so far; a hundred times them need not be, as floats
     linked = 100 * overlap >= PERCENT * (both - overlap)
     i, j = np.nonzero(linked & (overlap > 0))
     u, v = reps[first][i], reps[second][j]

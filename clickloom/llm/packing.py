@@ -36,6 +36,8 @@ SPECIAL = {"<|endoftext|>": 50256}
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _CACHED_CHUNKS = 300_000
+#: Longer chunks are not remembered.
+_LONG = 1 << 10
 
 
 def default_vocabulary() -> str:
@@ -51,9 +53,11 @@ class _Chunks(dict):
         self._encode = encode
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _CACHED_CHUNKS:
-            self.clear()
-        found = self[chunk] = array("I", self._encode(chunk)).tobytes()
+        found = array("I", self._encode(chunk)).tobytes()
+        if len(chunk) <= _LONG:
+            if len(self) >= _CACHED_CHUNKS:
+                self.clear()
+            self[chunk] = found
         return found
 
 

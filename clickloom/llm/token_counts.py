@@ -21,6 +21,8 @@ from clickloom.llm.hashing import by_bytes
 MARK = "▁"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CACHED = 500_000
+#: Longer words are not remembered.
+_LONG = 1 << 10
 
 
 class Automaton:
@@ -85,9 +87,11 @@ class _Counts(dict):
         self._count = automaton.count
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHED:
-            self.clear()
-        found = self[word] = self._count(MARK + word)
+        found = self._count(MARK + word)
+        if len(word) <= _LONG:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[word] = found
         return found
 
 

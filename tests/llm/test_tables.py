@@ -189,7 +189,7 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = db.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
