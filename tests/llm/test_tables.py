@@ -68,6 +68,20 @@ def test_neighbours_recall_with_many_blocks(spark, monkeypatch):
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in got) >= 0.9 * 20 * 50 and len(got) == 50
 
 
+def test_neighbours_with_queries_in_many_shifts(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 24)  # several groups of queries meet each block
+    vectors = np.random.default_rng(6).normal(size=(700, 16))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df["vec_id"] % 2 == 0).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    close = vectors @ vectors.T
+    np.fill_diagonal(close, -np.inf)
+    want = np.argsort(-close, axis=1)[:, :20]
+    assert len(got) == 350 and all(len(found) == len(set(found)) == 20 for found in got.values())
+    assert sum(len(set(found) & set(want[q].tolist())) for q, found in got.items()) >= 0.9 * 20 * 350
+
+
 def test_tied_neighbours_go_by_id():
     n = 600
     rng = np.random.default_rng(11)

@@ -115,9 +115,14 @@ def test_ngram_join(docs, no_docs):
     assert {4, 7, 9, 1, 2, 3} <= left and not {5, 8, 10, 11} & left
 
 
-@pytest.mark.parametrize("few", [1, 32])
-def test_ngram_join_on_families(spark, prose, monkeypatch, few):
-    """Copies with few to many edits around several bases, all with one line in common; also with most columns tied, and small tiles."""
+@pytest.mark.parametrize(("few", "most_last", "together"), [(1, 1 << 20, 1), (32, 1 << 20, 1 << 20), (1, 5, 1 << 20)])
+def test_ngram_join_on_families(spark, prose, monkeypatch, few, most_last, together):
+    """Copies with few to many edits around several bases, all with one line in common.
+
+    Also with most columns tied, with few of the common columns last, with small tiles, and sizes ranked in many groups.
+    """
+    monkeypatch.setattr(ngram_join, "MOST_LAST", most_last)
+    monkeypatch.setattr(ngram_join, "RANKED_TOGETHER", together)
     monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(ngram_join, "MANY", 4 * few)
     monkeypatch.setattr(ngram_join, "TILE", 3000)
@@ -160,6 +165,31 @@ def test_packing(docs, no_docs):
     assert packing.packed_documents(no_docs).count() == 0
 
 
+def test_packing_in_many_rank_groups(spark, monkeypatch):
+    """Pieces of few lengths, some rows twice, ranked in dozens of groups."""
+    monkeypatch.setattr(packing, "_RANKED_TOGETHER", 7)
+    rng = random.Random(31)
+    rows = [(k, 0, rng.choice([1, 30, 31, 40, 99, 100])) for k in range(400)]
+    rows += rows[:25]
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, length long")
+    place = {}
+    for r in packing.packed(cut, 100).collect():
+        place.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(n for parts in place.values() for _, n in parts) == sorted(n for *_, n in rows)
+    for parts in place.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))]
+        assert sum(n for _, n in parts) <= 100
+
+
+def test_gaps_are_filled_exactly_by_up_to_three():
+    plan = dict(packing.plan({700: 4, 324: 1, 200: 1, 124: 1, 114: 1, 110: 1, 100: 1, 99: 1}))
+    assert plan[700, 324] == plan[700, 200, 124] == plan[700, 114, 110, 100] == 1  # and 99 beside the last
+    assert plan[700, 99] == 1
+    sums = packing.Sums(np.array([0, 0, 0, 2, 1, 1, 0]))  # two of 3, one of 4, one of 5
+    assert [sums.making(n) for n in (3, 6, 7, 9, 10, 11, 13)] == [(3,), (3, 3), (4, 3), (5, 4), (4, 3, 3), (5, 3, 3), None]
+
+
 def test_tokenizer_on_odd_texts():
     import public_tokenizers
     from tokenizers import Tokenizer
