@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from clickloom.functions.referers import FIXED_RULES, RULES
 from clickloom.operators.reload import INDEX_CATEGORIES
 from clickloom.plans import jobs
+from clickloom.plans.etl import months_of_week
 from clickloom.sources.raw_clicks import click_paths
 
 
@@ -28,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
 
     raw = argparse.ArgumentParser(add_help=False)
     raw.add_argument("--root", required=True, help="folder of the raw click files")
-    raw.add_argument("--month", nargs="+", required=True, help="MM-YYYY, or * for all")
+    raw.add_argument("--month", nargs="+", help="MM-YYYY, or * for all; by default those of the week, if its year is given")
     raw.add_argument("--masthead", nargs="+", required=True)
     raw.add_argument("--output", required=True)
     raw.add_argument("--parse-partitions", type=int, help="tasks that parse lines, 0 for those that read them")
@@ -78,7 +79,12 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.job in ("sessionise", "forecast") and not args.month:
+        if getattr(args, "year", None) is None:
+            parser.error("give --month, or --week and --year")
+        args.month = months_of_week(args.week, args.year)
     spark = SparkSession.builder.appName(f"clickloom {args.job}").getOrCreate()
     if args.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))

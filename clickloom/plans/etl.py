@@ -19,6 +19,12 @@ from clickloom.operators.sessions import sessionise
 WEEK_MS, MARGIN_MS = 7 * 86_400_000, 2 * 86_400_000
 
 
+def months_of_week(week: int, year: int) -> list[str]:
+    """The months (``MM-YYYY``, as click files are named) in which the ISO week has days."""
+    days = (datetime.fromisocalendar(year, week, day) for day in range(1, 8))
+    return list(dict.fromkeys(f"{day:%m-%Y}" for day in days))
+
+
 def is_in_week(week: int, year: int | None = None, tz: str = SYDNEY) -> Column:
     """Whether ``timestamp`` is in the ISO week in local time, of any year unless ``year`` is given.
 

@@ -12,6 +12,7 @@ from clickloom.__main__ import main
 from clickloom.fields import TEXT_FIELDS
 from clickloom.operators.sessions import sessionise
 from clickloom.plans import jobs
+from clickloom.plans.etl import months_of_week
 from clickloom.sources import raw_clicks as raw
 from clickloom.sources import sessionised
 from clickloom.sources.metrics import read_metrics, write_metrics
@@ -373,3 +374,13 @@ def test_options_of_the_sessionise_job(spark, click_files, tmp_path, capsys):
     with pytest.raises(SystemExit):
         main(["sessionise", "--root", "r", "--month", "m", "--masthead", "x", "--week", "1", "--output", "o",
               "--index-category", "nothing"])
+
+
+def test_months_of_a_week(spark, click_files, tmp_path):
+    assert months_of_week(45, 2014) == ["11-2014"]
+    assert months_of_week(1, 2015) == ["12-2014", "01-2015"] and months_of_week(53, 2015) == ["12-2015", "01-2016"]
+    out = str(tmp_path / "out")
+    main(["sessionise", "--root", str(click_files), "--masthead", "smh", "theage", "--week", "45", "--year", "2014", "--output", out])
+    assert sessionised.read_parquet(spark, out).count() == 5
+    with pytest.raises(SystemExit):
+        main(["sessionise", "--root", str(click_files), "--masthead", "smh", "--week", "45", "--output", out])
