@@ -186,7 +186,7 @@ def test_gaps_are_filled_exactly_by_up_to_three():
     plan = dict(packing.plan({700: 4, 324: 1, 200: 1, 124: 1, 114: 1, 110: 1, 100: 1, 99: 1}))
     assert plan[700, 324] == plan[700, 200, 124] == plan[700, 114, 110, 100] == 1  # and 99 beside the last
     assert plan[700, 99] == 1
-    sums = packing.Sums(np.array([0, 0, 0, 2, 1, 1, 0]))  # two of 3, one of 4, one of 5
+    sums = packing.Sums(np.array([0, 0, 0, 2, 1, 1] + [0] * 9))  # two of 3, one of 4, one of 5
     assert [sums.making(n) for n in (3, 6, 7, 9, 10, 11, 13)] == [(3,), (3, 3), (4, 3), (5, 4), (4, 3, 3), (5, 3, 3), None]
 
 
