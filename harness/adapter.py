@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.sites import brand_of_site
-from clickloom.sources.raw_clicks import ZERO_GUID
+from clickloom.sources.raw_clicks import ZERO_GUID, spread_lines
 
 # One referer per branch of the referer rules, by event_id % 16.
 REFERERS = (
@@ -33,7 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The events with what clicks are made of, if ``spread`` dealt over a shuffle's tasks before anything is made."""
+    events = table(spark, sf_dir, "events")
+    if spread:
+        events = spread_lines(events)
     # ``ts`` has no zone: read as session time, then shifted back, it is taken as UTC.
     epoch = F.unix_millis(
         F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
@@ -47,7 +51,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(eighth == 7, "traveller")
         .otherwise("smh")
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "*",
         epoch.alias("timestamp"),
         F.expr("cast(user_id div 10 as string)").alias("visitor"),
@@ -105,8 +109,12 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a raw JSON line, some of them damaged (by the event's value)."""
-    rows = _events(spark, sf_dir).withColumns(_fields())
+    """Every event as a raw JSON line, some of them damaged (by the event's value).
+
+    Lines are made, and whatever follows is done, in as many tasks as a shuffle has: a
+    table's few splits would make and parse them all.
+    """
+    rows = _events(spark, sf_dir, spread=True).withColumns(_fields())
     escape = (
         F.when(F.col("event_type") == "error", r"\'")
         .when(F.col("event_type") == "signup", r"\v")
