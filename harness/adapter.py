@@ -199,12 +199,16 @@ def events_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_click_files(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """The raw lines as packed files under ``root``, in a folder named by month, masthead and device for each."""
+    """The raw lines as packed files under ``root``, in a folder named by month, masthead and device for each.
+
+    A folder's lines are gathered in one file up to the advised size, and in several beyond: no task
+    has to put all lines of a name in order.
+    """
     mobile = F.when(F.col("device") == "mobile", "-m").otherwise("")
     name = F.concat(F.lit("01-2024-"), F.col("masthead"), mobile, F.lit("-view"))
     lines = raw_lines(spark, sf_dir).select("value", name.alias("file"))
-    # One file for each name, as the logs come: nothing can split it.
-    lines.repartition("file").write.partitionBy("file").option("compression", "gzip").text(root)
+    # Few large files, as the logs come: nothing can split one.
+    lines.hint("rebalance", "file").write.partitionBy("file").option("compression", "gzip").text(root)
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     for found in files.listStatus(folder):

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.sources import raw_clicks
 from harness import adapter
 
 EVENTS = 4_000
@@ -33,3 +34,23 @@ def test_raw_lines_of_one_split_are_made_in_many_tasks(spark, events):
     sizes = [n for n, in lines.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sum(sizes) == EVENTS and max(sizes) < EVENTS / 2
+
+
+def test_click_files_of_one_name_are_cut_at_the_advised_size(spark, events, tmp_path):
+    root, advised = tmp_path / "files", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advised, "8k")
+    try:
+        adapter.write_click_files(spark, events, str(root))
+    finally:
+        spark.conf.unset(advised)
+    assert len(list(root.glob("01-2024-smh-view/*.gz"))) > 1
+    read = raw_clicks.read_click_lines(spark, raw_clicks.click_paths(str(root), ["*"], ["smh", "theage", "drive", "traveller"]))
+    columns = ("value", "masthead", "device")
+    want = adapter.raw_lines(spark, events).na.fill("", ["value"])  # an event without an id is an empty line
+    assert sorted(read.select(*columns).collect()) == sorted(want.select(*columns).collect())
+
+
+def test_small_click_files_are_one_a_name(spark, events, tmp_path):
+    adapter.write_click_files(spark, events, str(tmp_path / "files"))
+    for folder in (tmp_path / "files").glob("01-2024-*"):
+        assert len(list(folder.glob("*.gz"))) == 1, folder
