@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.timekeys import SYDNEY, month_key, month_start
 from clickloom.operators.geo import in_country, locate_addresses, with_address
 from clickloom.operators.sessions import session_heads, sessionise
+from clickloom.staging import stage
 
 OVERALL = "overall"
 MONTH = ("device", "site", "month", "month_start")
@@ -39,6 +40,8 @@ def monthly_metrics(
 
     Visits are added up per address before the addresses are located, so each
     address is looked up once per group and no visit is joined to anything.
+    The sums are staged (see ``staging.stage``): they are read for the addresses and for the
+    join with what these are, and ``heads`` would be worked out for each.
     """
     at = F.col("timestamp")
     per_address = (
@@ -53,7 +56,7 @@ def monthly_metrics(
         .agg(F.count("*").alias("_visits"), F.sum("numPage").alias("_pages"))
     )
     totals = (
-        in_country(locate_addresses(per_address, ranges), country)
+        in_country(locate_addresses(stage(per_address, "visits-per-address"), ranges), country)
         .groupBy(*MONTH)
         .agg(F.sum("_visits").alias("_visits"), F.sum("_pages").alias("_pages"))
     )

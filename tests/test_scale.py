@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.plans import forecast
 from clickloom.sources import raw_clicks
 from harness import adapter
 
@@ -54,3 +55,18 @@ def test_small_click_files_are_one_a_name(spark, events, tmp_path):
     adapter.write_click_files(spark, events, str(tmp_path / "files"))
     for folder in (tmp_path / "files").glob("01-2024-*"):
         assert len(list(folder.glob("*.gz"))) == 1, folder
+
+
+def test_monthly_metrics_work_heads_out_once(spark, tmp_path):
+    """The heads are read for the sums only, and not again for the addresses to locate."""
+    heads, ranges = f"{tmp_path}/heads", "lo long, hi long, Country string, Region string, City string, ipBlock string, ipBlockIndex long"
+    # 1 January 2024 in Sydney
+    views = [("overall", "smh", 1_704_100_000_000 + k, f"1.0.0.{k % 3 + 1}", 2) for k in range(6)]
+    views += [("overall", "smh", 1_704_100_000_000, None, 1), ("overall", "smh", 1_704_100_000_000, "9.9.9.9", 5)]
+    spark.createDataFrame(views, "scope string, site string, timestamp long, IpAddress string, numPage long").write.parquet(heads)
+    located = spark.createDataFrame([(16777217, 16777218, "AU", "0", "Here", "b", 0)], ranges)
+    rows = forecast.monthly_metrics(spark.read.parquet(heads), located, "all")
+    assert {(row.metric, row.device, row.site, row.value) for row in rows.collect()} == {
+        ("Month_visit", "overall", "smh", 4.0), ("Month_pageviews", "overall", "smh", 8.0),
+    }
+    assert not [path for path in rows.inputFiles() if "/heads/" in path]
