@@ -235,7 +235,7 @@ def _repeated_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weeks 1 and 2 written in turn, week 2 once more: each stands there once."""
     _name_shared_folder(spark)
     path = new_path(spark, "sessionised-weeks")
-    done = etl.sessionised_clicks(adapter.clicks(spark, sf_dir))
+    done = stage(etl.sessionised_clicks(adapter.clicks(spark, sf_dir)), "sessionised")
     for week in (1, 2, 2):
         sessionised.write_parquet(etl.in_week(done, week), path)
     return sessionised.read_parquet(spark, path).select(*SESSION_COLUMNS, "masthead", "year", "week")

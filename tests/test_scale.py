@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.plans import forecast
-from clickloom.sources import raw_clicks
+from clickloom.sources import raw_clicks, sessionised
 from harness import adapter
+from harness.queries import QUERIES
 
 EVENTS = 4_000
 
@@ -70,3 +71,16 @@ def test_monthly_metrics_work_heads_out_once(spark, tmp_path):
         ("Month_visit", "overall", "smh", 4.0), ("Month_pageviews", "overall", "smh", 8.0),
     }
     assert not [path for path in rows.inputFiles() if "/heads/" in path]
+
+
+def test_weeks_are_written_from_clicks_sessionised_once(spark, events, monkeypatch):
+    read = []
+    write = sessionised.write_parquet
+
+    def watched(clicks, path):
+        read.extend(clicks.inputFiles())
+        write(clicks, path)
+
+    monkeypatch.setattr(sessionised, "write_parquet", watched)
+    assert QUERIES["repeated_weeks"](spark, events).count() > 0
+    assert read and not [path for path in read if "events.parquet" in path]
