@@ -53,7 +53,7 @@ def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values.to_numpy(zero_copy_only=False), offsets[:-1] - offsets[0], sizes
 
 
-def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose lists in ``column`` hold about ``most`` values together, one row at least."""
     for batch in batches:
         ends = np.asarray(batch.column(column).offsets.to_numpy(zero_copy_only=False), dtype=np.int64)

@@ -67,7 +67,7 @@ def prefix_length(n):
 
 def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many documents hold a shingle near the front, half a prefix beyond the prefix included."""
-    for batch in portions(batches, "hashes"):
+    for batch in portions(batches, "hashes", 1 << 20):
         sets = [s[: 3 * prefix_length(len(s)) // 2] for s in shingle_sets(batch.column("hashes")) if len(s)]
         token, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.int64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
