@@ -16,6 +16,7 @@ import re
 import string
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -322,6 +323,12 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
 
 
+@lru_cache(maxsize=1)
+def _kept(lines: bytes, pattern: str, stand_ins: tuple[tuple[int, int], ...]) -> BytePairs:
+    """The vocabulary of a worker process, made once: what one task remembers serves the next."""
+    return BytePairs(read_ranks(lines), pattern, dict(stand_ins))
+
+
 def coded(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) for every row of ``docs``.
 
@@ -332,12 +339,11 @@ def coded(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
     """
     with open(vocabulary or default_vocabulary(), "rb") as file:  # the driver's own; tasks get its bytes
         shipped = docs.sparkSession.sparkContext.broadcast(
-            (file.read(), pattern or default_pattern(), library_stand_ins())
+            (file.read(), pattern or default_pattern(), tuple(sorted(library_stand_ins().items())))
         )
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines, pattern, stand_ins = shipped.value
-        pairs = BytePairs(read_ranks(lines), pattern, stand_ins)
+        pairs = _kept(*shipped.value)
         for batch in by_bytes(batches, 1, 1 << 21):
             ids = pairs.encode(batch.column(1).to_pylist())
             back = [pairs.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from clickloom.llm import substring
+from clickloom.llm import byte_pairs, substring
 
 
 def test_passages_are_hashed_a_bounded_number_at_a_time():
@@ -22,3 +22,14 @@ def test_passages_are_hashed_a_bounded_number_at_a_time():
     assert max(windows) <= 1 << 18
     covered = np.isin(np.arange(words - substring.WINDOW + substring.PERIOD) % substring.PERIOD, substring.COVER).sum()
     assert sum(b.num_rows for b in substring._anchors([batch])) == rows * covered
+
+
+def test_a_worker_makes_a_vocabulary_once():
+    """Tasks that follow each other in a process share it, what is remembered included; another vocabulary is another."""
+    lines = b"".join(b"%s %d\n" % (byte_pairs.base64.b64encode(bytes([b])), b) for b in range(256))
+    more = lines + b"%s 256\n" % byte_pairs.base64.b64encode(b"ab")
+    one = byte_pairs._kept(lines, r"\S+|\s+", ())
+    assert one is byte_pairs._kept(bytes(bytearray(lines)), r"\S+|\s+", ())
+    assert one.encode(["ab ab"]) == one.encode(["ab ab"]) == [np.array([97, 98, 32, 97, 98], "<u4").tobytes()]
+    other = byte_pairs._kept(more, r"\S+|\s+", ())
+    assert other.encode(["ab ab"]) == [np.array([256, 32, 256], "<u4").tobytes()]
