@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,6 +20,61 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Words of more bytes than this are hashed one by one.
+LONG_WORD = 128
+#: What of eight bytes belongs to a word that goes on for 0 to 8 bytes.
+_WITHIN = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def _byte_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, together: int = 1 << 14) -> np.ndarray:
+    """64-bit hashes of the stretches of bytes at ``starts``, eight bytes at a time; ``together`` fit a cache."""
+    padded = np.zeros(len(data) // 8 * 8 + 16, np.uint8)
+    padded[: len(data)] = data
+    eights = padded.view("<u8")
+    found = sizes.astype(np.uint64)
+    for begin in range(0, len(starts), together):
+        part = found[begin : begin + together]
+        at, rest = starts[begin : begin + together], np.minimum(sizes[begin : begin + together], LONG_WORD)
+        left = np.arange(len(part))
+        with np.errstate(over="ignore"):
+            while len(left):
+                aligned, bits = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+                eight = (eights[aligned] >> bits) | (eights[aligned + 1] << (np.uint64(64) - bits))
+                part[left] = mixed(part[left] * np.uint64(BASES[1]) + (eight & _WITHIN[np.minimum(rest, 8)]))
+                more = np.flatnonzero(rest > 8)
+                left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    for k in np.flatnonzero(sizes > LONG_WORD):
+        digest = hashlib.blake2b(data[starts[k] : starts[k] + sizes[k]], digest_size=8).digest()
+        found[k] = int.from_bytes(digest, "little")
+    return found
+
+
+def lower_word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, A-Z lower-cased; start and length of each text's part.
+
+    Null texts have no words.
+    """
+    lower = pc.ascii_lower(pc.fill_null(texts, ""))
+    wide = pa.types.is_large_string(lower.type)
+    _, offsets, data = lower.buffers()
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[lower.offset :][: len(lower) + 1].astype(np.int64)
+    begin, end = (int(offsets[0]), int(offsets[-1])) if len(lower) else (0, 0)
+    if begin == end:
+        return np.zeros(0, np.uint64), *np.zeros((2, len(lower)), np.int64)
+    data = np.frombuffer(data, np.uint8)[begin:end]
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    borders = offsets[:-1][np.diff(offsets) > 0] - begin  # where texts begin
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    first[borders] = inside[borders]
+    last[borders[1:] - 1] = inside[borders[1:] - 1]
+    starts = np.flatnonzero(first)
+    ends = np.flatnonzero(last) + 1
+    places = np.searchsorted(starts, offsets - begin)
+    return _byte_hashes(data, starts, ends - starts), places[:-1], np.diff(places)
+
+
 class Windows:
     """Hashes of windows anywhere in a flat array of 64-bit word hashes (polynomials modulo 2**64)."""
 

@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import lower_ascii, small, words, written
+from clickloom.llm.common import small, written
 from clickloom.llm.graph import components, forest
-from clickloom.llm.hashing import Windows, flat, mixed, portions
+from clickloom.llm.hashing import Windows, by_bytes, flat, lower_word_hashes, mixed
 
 SHINGLE = 5
 PERCENT = 75
@@ -44,22 +44,34 @@ MANY = 4 * FEW
 MOST_LAST = 1 << 20
 #: A tile holds documents of about this many shingles, each document counting 256 more.
 TILE = 1 << 18
+#: Texts of about so many bytes are cut to shingles at a time.
+PORTION = 1 << 21
 
 
-def shingle_sets(lists: pa.Array) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each row of word hashes."""
-    values, begins, sizes = flat(lists)
-    if not len(values):
-        return [np.zeros(0, np.int64) for _ in sizes]
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    values, begins, sizes = lower_word_hashes(texts)
     windows = Windows(values)
+    every = windows.at(np.arange(max(0, len(values) - SHINGLE + 1)), SHINGLE).view(np.int64)
     found = []
-    for begin, size in zip(begins, sizes):
-        length = min(SHINGLE, size)
-        starts = np.arange(begin, begin + size - length + 1) if size else np.zeros(0, np.int64)
-        found.append(np.unique(windows.at(starts, length).view(np.int64)))
+    for begin, size in zip(begins.tolist(), sizes.tolist()):
+        if size >= SHINGLE:
+            own = np.sort(every[begin : begin + size - SHINGLE + 1])
+            new = own[1:] != own[:-1]
+            if not new.all():
+                own = own[np.concatenate([[True], new])]
+        else:
+            own = windows.at(np.full(min(size, 1), begin), size).view(np.int64)
+        found.append(own)
     return found
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    """A list array of these arrays of 64-bit numbers."""
+    offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int64), *parts]))
+
+
 def prefix_length(n):
     """How many of n shingles two linked documents must share one of, each in its own order."""
     return n - (PERCENT * n + 99) // 100 + 1
@@ -67,23 +79,16 @@ def prefix_length(n):
 
 def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many documents hold a shingle near the front, half a prefix beyond the prefix included."""
-    for batch in portions(batches, "hashes", 1 << 20):
-        sets = [s[: 3 * prefix_length(len(s)) // 2] for s in shingle_sets(batch.column("hashes")) if len(s)]
+    for batch in by_bytes(batches, "text"):
+        sets = [s[: 3 * prefix_length(len(s)) // 2] for s in shingle_sets(batch.column("text")) if len(s)]
         token, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.int64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], ["token", "n"])
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.transform(words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("hashes"),
-    )
-
-
-def _common_shingles(hashed: DataFrame) -> np.ndarray:
+def _common_shingles(texts: DataFrame) -> np.ndarray:
     """The shingles to put last, sorted."""
     counts = written(
-        hashed.mapInArrow(_prefix_counts, "token long, n long")
+        texts.select("text").mapInArrow(_prefix_counts, "token long, n long")
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") > FEW),
@@ -186,6 +191,7 @@ def _tile_links(group: pa.Table) -> pa.Table:
     first, second = slice(0, half), slice(half, len(n)) if half < len(n) else slice(0, half)
     overlap = np.zeros((half, len(n[second])), dtype=np.float32)
     width = max(64, (1 << 22) // max(len(n), 1))
+    width = min(width, int(column.max(initial=0)) + 1)  # no wider than what there is to multiply
     by_column = np.argsort(column, kind="stable")
     column, rows = column[by_column], rows[by_column]
     edges = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width + 1, width))
@@ -232,13 +238,15 @@ def linked_components(docs: DataFrame) -> DataFrame:
     wordless texts have none and link with nothing.  Repeated rows of one doc_id are
     one document, linked by any of them.  Rows with a null id are left out here.
     """
-    hashed = _hashed(docs)
+    texts = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
     spark = docs.sparkSession
-    last = spark.sparkContext.broadcast(_common_shingles(hashed))
+    last = spark.sparkContext.broadcast(_common_shingles(texts))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, "hashes"):
-            sets = shingle_sets(batch.column("hashes"))
+        for batch in by_bytes(batches, "text", PORTION):
+            sets = shingle_sets(batch.column("text"))
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             every = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             at = np.searchsorted(last.value, every)
@@ -246,32 +254,38 @@ def linked_components(docs: DataFrame) -> DataFrame:
             if len(last.value):
                 common = last.value[np.minimum(at, len(last.value) - 1)] == every
             ends = np.cumsum(sizes)
-            prefixes, n_common, d1, d2 = [], [], [], []
+            begins = ends - sizes
             with np.errstate(over="ignore"):
-                one, two = mixed(every.view(np.uint64)), mixed(~every.view(np.uint64))
-            for s, end in zip(sets, ends):
-                part = slice(end - len(s), end)
-                length = prefix_length(len(s)) if len(s) else 0
-                rest = s[~common[part]]
-                prefixes.append(np.concatenate([rest, s[common[part]]])[:length])
-                n_common.append(max(0, length - len(rest)))
-                with np.errstate(over="ignore"):
-                    d1.append(one[part].sum(dtype=np.uint64))
-                    d2.append(two[part].sum(dtype=np.uint64))
+                d1, d2 = (
+                    np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(x))])
+                    for x in (every.view(np.uint64), ~every.view(np.uint64))
+                )
+                d1, d2 = d1[ends] - d1[begins], d2[ends] - d2[begins]
+            lengths = np.where(sizes > 0, prefix_length(sizes), 0)
+            upto = np.concatenate([[0], np.cumsum(common)])
+            some = upto[begins + lengths] > upto[begins]
+            prefixes, n_common = [], np.zeros(len(sets), np.int64)
+            for k, (s, length) in enumerate(zip(sets, lengths.tolist())):
+                if some[k]:
+                    own = common[begins[k] : ends[k]]
+                    rest = s[~own]
+                    n_common[k] = max(0, length - len(rest))
+                    s = np.concatenate([rest, s[own]])
+                prefixes.append(s[:length])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes),
-                    pa.array(np.array(d1, np.uint64).view(np.int64)),
-                    pa.array(np.array(d2, np.uint64).view(np.int64)),
-                    pa.array(np.array(n_common, np.int64)),
-                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(d1.view(np.int64)),
+                    pa.array(d2.view(np.int64)),
+                    pa.array(n_common),
+                    _lists(prefixes),
                 ],
                 ["doc_id", "n", "d1", "d2", "common", "prefix"],
             )
 
     rows = written(
-        hashed.mapInArrow(sketch, "doc_id long, n long, d1 long, d2 long, common long, prefix array<long>"),
+        texts.mapInArrow(sketch, "doc_id long, n long, d1 long, d2 long, common long, prefix array<long>"),
         "prefixes",
     )
     # one row of the matrix for each distinct set
@@ -298,7 +312,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     )
     counted = (
         few.repartition("token")
-        .sortWithinPartitions("token", "rep")
+        .sortWithinPartitions("token")
         .mapInArrow(_column_pairs, "u long, v long, needed long, shared long")
         .groupBy("u", "v")
         .agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed"))
@@ -342,16 +356,15 @@ def linked_components(docs: DataFrame) -> DataFrame:
     )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, "hashes"):
+        for batch in by_bytes(batches, "text", PORTION):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.array(shingle_sets(batch.column("hashes")), pa.list_(pa.int64()))],
-                ["rep", "shingles"],
+                [batch.column("rep"), _lists(shingle_sets(batch.column("text")))], ["rep", "shingles"]
             )
 
     chosen = small(tiled.select("rep"))
     full = (
-        hashed.join(chosen, hashed["doc_id"] == chosen["rep"])
-        .select("rep", "hashes")
+        texts.join(chosen, texts["doc_id"] == chosen["rep"])
+        .select("rep", "text")
         .mapInArrow(whole, "rep long, shingles array<long>")
     )
     links = (

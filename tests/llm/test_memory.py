@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
-from clickloom.llm import byte_pairs, substring
+from clickloom.llm import byte_pairs, ngram_join, substring
 
 
 def test_passages_are_hashed_a_bounded_number_at_a_time():
@@ -33,3 +35,15 @@ def test_a_worker_makes_a_vocabulary_once():
     assert one.encode(["ab ab"]) == one.encode(["ab ab"]) == [np.array([97, 98, 32, 97, 98], "<u4").tobytes()]
     other = byte_pairs._kept(more, r"\S+|\s+", ())
     assert other.encode(["ab ab"]) == [np.array([256, 32, 256], "<u4").tobytes()]
+
+
+def test_a_small_tile_costs_little():
+    """The product is as wide as the shingles its documents share, not as wide as a large tile's."""
+    sets = [list(range(100)), list(range(5, 105)), list(range(1000, 1100))]
+    tile = pa.table({"rep": [1, 2, 3], "side": pa.array([0, 0, 0], pa.int32()), "shingles": pa.array(sets, pa.list_(pa.int64()))})
+    tracemalloc.start()
+    links = ngram_join._tile_links(tile)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links.to_pydict() == {"u": [2], "v": [1]}
+    assert peak < 1 << 20

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import common, langid, ngram_join, packing, pieces, quality, substring, token_counts, toxicity
+from clickloom.llm import common, hashing, langid, ngram_join, packing, pieces, quality, substring, token_counts, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -106,6 +106,23 @@ def jaccard_components(rows):
     return {d: (len(sets[d]), label[d]) for d in sets}
 
 
+def test_words_are_cut_and_hashed_in_tasks(prose):
+    """By the contract's rule, whatever the batch: slices, nulls, other spaces, long words."""
+    own = ["A b\tC\x0bd\x0c\x0d\ne", "a B c D E", "", " ", None, "\x1cx\x85y\xa0z\u2003", "É漢字É é漢字É", " a", "b ", "ab", "Ab", "aB" * 300, "ab" * 300]
+    own += ["x" * k for k in range(1, 140)] + [prose(70, 500)]
+    hashes = {}
+    for begin, end in ((0, len(own)), (3, 9), (4, 5), (2, 4), (0, 0)):
+        for kind in (pa.string(), pa.large_string()):
+            texts = pa.array(own, kind)[begin:end]
+            values, begins, sizes = hashing.lower_word_hashes(texts)
+            for text, at, size in zip(texts.to_pylist(), begins, sizes, strict=True):
+                cut = WORD.findall(re.sub("[A-Z]", lambda c: c[0].lower(), text or ""))
+                assert size == len(cut)
+                for word, value in zip(cut, values[at : at + size], strict=True):
+                    assert hashes.setdefault(word, value) == value
+    assert len(set(hashes.values())) == len(hashes) > 400
+
+
 def test_ngram_join(docs, no_docs):
     got = by_id(ngram_join.linked_components(docs), "n_shingles", "component_id")
     assert got == jaccard_components(texts(docs))
