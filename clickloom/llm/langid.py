@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ SWITCH = 8.0
 SCRIPT_SHARE = 0.01
 #: Scores held at once in a task (words times languages).
 CELLS = 1 << 22
+#: Words of about so many characters are cut into n-grams at a time.
+POINTS = 1 << 16
 
 #: First code points of stretches of one script, by Unicode block.
 SCRIPT_STARTS = (
@@ -70,18 +73,30 @@ def scripts_of(points: np.ndarray) -> np.ndarray:
     return _SCRIPT_AT[np.searchsorted(_STARTS, points, side="right") - 1]
 
 
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased runs of letters, with the marks on them."""
+    text = (text or "").lower()
+    try:
+        text.encode("latin-1")  # holds no marks
+        words = _LETTERS.findall(text)
+    except UnicodeEncodeError:
+        words = _WORD.findall(text)
+    return [w for w in words if w.isalpha() or any(c.isalpha() for c in w)]
+
+
 def word_lists(texts: pa.Array) -> list[list[str]]:
-    """Lower-cased runs of letters of each text, with the marks on them."""
-    found = []
-    for text in texts.to_pylist():
-        text = (text or "").lower()
-        try:
-            text.encode("latin-1")  # holds no marks
-            words = _LETTERS.findall(text)
-        except UnicodeEncodeError:
-            words = _WORD.findall(text)
-        found.append([w for w in words if w.isalpha() or any(c.isalpha() for c in w)])
-    return found
+    """The words of each text."""
+    return [words_of(text) for text in texts.to_pylist()]
+
+
+def stretches(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Ends of stretches of ``words`` that hold about ``POINTS`` characters together, one word at least."""
+    ends = np.cumsum([len(w) for w in words])
+    begin = done = 0
+    while begin < len(words):
+        stop = max(int(np.searchsorted(ends, done + POINTS, side="right")), begin + 1)
+        yield begin, stop
+        begin, done = stop, int(ends[stop - 1])
 
 
 def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,9 +165,12 @@ class Model:
 
     def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Score of each word in each language, ruled-out languages far below the rest; and whether it has a candidate."""
-        owner, bucket, script = ngrams(words)
-        order = np.argsort(owner, kind="stable")
-        found = self._sums(owner[order], bucket[order], len(words))
+        found = np.empty((len(words), len(self.languages)), dtype=np.float32)
+        script = np.empty(len(words), dtype=np.int64)
+        for a, b in stretches(words):
+            owner, bucket, script[a:b] = ngrams(words[a:b])
+            order = np.argsort(owner, kind="stable")
+            found[a:b] = self._sums(owner[order], bucket[order], b - a)
         candidates = self.written_in[script]
         known = candidates.any(axis=1, keepdims=True)
         scores = np.where(known, np.where(candidates, found, found.min() - 100.0), 0.0).astype(np.float32)
@@ -163,17 +181,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(language, bucket, count) of the n-grams of words; scripts of letters as buckets below 0."""
     for batch in by_bytes(batches, "text"):
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-        lists = word_lists(batch.column("text"))
-        for lang in set(langs):
-            words = [w for l, ws in zip(langs, lists) if l == lang for w in ws]
-            if not words:
+        found: dict[str, Counter[str]] = {}
+        for lang, text in zip(langs, batch.column("text").to_pylist()):
+            found.setdefault(lang, Counter()).update(words_of(text))
+        for lang, times_of in found.items():
+            if not times_of:
                 continue
-            distinct, times = np.unique(np.array(words, dtype=object), return_counts=True)
-            owner, bucket, script = ngrams(list(distinct))
-            counts = np.bincount(bucket, weights=times[owner], minlength=BUCKETS)
-            letters = np.bincount(
-                script, weights=times * np.array([len(w) for w in distinct]), minlength=len(SCRIPTS)
-            )
+            distinct, times = list(times_of), np.array(list(times_of.values()))
+            counts, letters = np.zeros(BUCKETS), np.zeros(len(SCRIPTS))
+            for a, b in stretches(distinct):
+                owner, bucket, script = ngrams(distinct[a:b])
+                counts += np.bincount(bucket, weights=times[a:b][owner], minlength=BUCKETS)
+                long = np.array([len(w) for w in distinct[a:b]])
+                letters += np.bincount(script, weights=times[a:b] * long, minlength=len(SCRIPTS))
             keys = np.concatenate([np.flatnonzero(counts), -1 - np.flatnonzero(letters)])
             n = np.concatenate([counts[counts > 0], letters[letters > 0]]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -268,11 +288,10 @@ class Judge:
 
     def spans(self, texts: pa.Array) -> Iterator[list[tuple[int, int, int, int, int]]]:
         """Per text: (language, first word, words, letters, letters of words with a candidate) of each span."""
-        lists = word_lists(texts)
         languages = max(1, len(self.model.languages))
         group: list[list[str]] = []
         size = 0
-        for words in lists:
+        for words in map(words_of, texts.to_pylist()):
             if group and (size + len(words)) * languages > CELLS:
                 yield from self._spans(group)
                 group, size = [], 0

@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from clickloom.llm import byte_pairs, ngram_join, substring
+from clickloom.llm import byte_pairs, langid, ngram_join, substring
 
 
 def test_passages_are_hashed_a_bounded_number_at_a_time():
@@ -47,3 +47,40 @@ def test_a_small_tile_costs_little():
     tracemalloc.stop()
     assert links.to_pydict() == {"u": [2], "v": [1]}
     assert peak < 1 << 20
+
+
+def _peak(run):
+    """What ``run`` returns, and the most bytes it held at once."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_language_id_cuts_a_bounded_number_of_ngrams_at_a_time(monkeypatch):
+    """Any number of different words is scored and counted in stretches, with what all at once would give."""
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, row)) for row in rng.integers(97, 123, (50_000, 10))] + ["x" * (1 << 17)]
+    seen = np.flatnonzero(rng.random(langid.BUCKETS) < 0.5)
+    starts = np.searchsorted(seen, np.arange(langid.BUCKETS + 1))
+    latin = np.array([[s == "latin"] * 2 for s in langid.SCRIPTS])
+    gains = rng.random(len(seen)).astype(np.float32)
+    model = langid.Model(["a", "b"], starts, np.arange(len(seen)) % 2, gains, np.float32([-1, -1]), latin)
+    texts = [" ".join(words[:30_000]), None, " ".join(words[20_000:]), "\u4e00"]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["a", "a", "b", "b"]})
+
+    def counted():
+        rows = pa.Table.from_batches(langid._counted([batch])).to_pylist()
+        return sorted((r["lang"], r["bucket"], r["n"]) for r in rows)
+
+    (scores, known), peak = _peak(lambda: model.of_words(words))
+    assert peak < 48 << 20
+    peak = _peak(lambda: list(langid._counted([batch])))[1]
+    assert peak < 64 << 20
+    counts = counted()
+    assert sum(n for lang, bucket, n in counts if bucket < 0) == 600_000 + (1 << 17) + 1
+    monkeypatch.setattr(langid, "POINTS", 1 << 40)
+    whole, whole_known = model.of_words(words)
+    assert np.allclose(scores, whole, rtol=1e-5) and (known == whole_known).all()
+    assert counts == counted()
