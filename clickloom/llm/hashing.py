@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -121,8 +122,19 @@ def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 18
             begin = stop
 
 
+def give_back() -> None:
+    """Freed memory back to the machine, where the C library can: a worker waits for its next task with little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def by_bytes(batches: Iterable[pa.RecordBatch], column: int | str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose texts in ``column`` hold about ``most`` bytes together, one row at least."""
+    """The same rows in batches whose texts in ``column`` hold about ``most`` bytes together, one row at least.
+
+    After the last, what earlier ones took is given back.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
@@ -132,6 +144,7 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: int | str, most: int = 1
             stop = min(max(stop, begin + 1), batch.num_rows)
             yield batch.slice(begin, stop - begin)
             begin = stop
+    give_back()
 
 
 def positions(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from clickloom.llm import byte_pairs, langid, ngram_join, substring
+from clickloom.llm import byte_pairs, hashing, langid, ngram_join, substring
 
 
 def test_passages_are_hashed_a_bounded_number_at_a_time():
@@ -84,3 +84,16 @@ def test_language_id_cuts_a_bounded_number_of_ngrams_at_a_time(monkeypatch):
     whole, whole_known = model.of_words(words)
     assert np.allclose(scores, whole, rtol=1e-5) and (known == whole_known).all()
     assert counts == counted()
+
+
+def test_memory_is_given_back_after_the_last_portion(monkeypatch):
+    """Once for a task, when its rows are through."""
+    calls = []
+    monkeypatch.setattr(hashing, "give_back", lambda: calls.append(len(seen)))
+    seen: list[str] = []
+    batches = [pa.RecordBatch.from_pydict({"text": texts}) for texts in (["a", "bb", None], ["ccc"])]
+    for portion in hashing.by_bytes(batches, "text", 2):
+        seen += portion.column("text").to_pylist()
+    assert seen == ["a", "bb", None, "ccc"] and calls == [4]
+    monkeypatch.undo()
+    hashing.give_back()
